@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fovea.functions.tensors import global_pool
@@ -115,47 +115,42 @@ def split_rejects(df: DataFrame, reason_col: str = "reject_reason") -> tuple[Dat
 
 
 def pooling_report(df: DataFrame, tensor_col: str, channels: int) -> DataFrame:
-    """Max against average pooling over the whole table, in one pass: overall statistics and the
-    mean over dimensions of the spread between rows (a low one means the pooling smooths)."""
-    from pyspark.ml.functions import array_to_vector
+    """Max against average pooling over the whole table: overall statistics, and the mean over
+    dimensions of the spread between rows (a low one means the pooling smooths).
 
-    metrics = ["count", "mean", "std", "min", "max"]
+    One pass computes both; what is left to group is one row per pooling and channel.
+    """
+    poolings, metrics = ("max", "avg"), ("mean", "std", "min", "max")
     summary = df.select(
         *[
-            Summarizer.metrics(*metrics)
+            Summarizer.metrics("count", *metrics)
             .summary(array_to_vector(global_pool(tensor_col, channels, how)))
             .alias(how)
-            for how in ("max", "avg")
+            for how in poolings
         ]
     )
-    per_pooling = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(how).alias("pooling"),
-                    F.col(f"{how}.count").alias("n"),
-                    *[
-                        vector_to_array(F.col(f"{how}.{metric}")).alias(metric)
-                        for metric in metrics[1:]
-                    ],
-                )
-                for how in ("max", "avg")
-            ]
+
+    def per_dimension(how: str) -> Column:
+        zipped = F.arrays_zip(*[vector_to_array(f"{how}.{m}").alias(m) for m in metrics])
+        count = F.col(f"{how}.count").alias("n")
+        return F.transform(
+            zipped,
+            lambda dim: F.struct(
+                F.lit(how).alias("pooling"), count, *[dim[m].alias(m) for m in metrics]
+            ),
         )
-    )
 
-    def total(values):
-        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-
-    size = F.size("mean")
-    mean = total(F.col("mean")) / size
-    within = total(F.transform("std", lambda s: s * s)) * (F.col("n") - 1)
-    between = total(F.transform("mean", lambda m: (m - mean) * (m - mean))) * F.col("n")
-    return summary.select(per_pooling).select(
-        "pooling",
-        mean.alias("mean"),
-        F.sqrt((within + between) / (F.col("n") * size - 1)).alias("stddev"),
-        F.array_min("min").alias("min"),
-        F.array_max("max").alias("max"),
-        (total(F.col("std")) / size).alias("mean_dim_stddev"),
+    dims, n = F.count(F.lit(1)), F.max("n")
+    within = (n - 1) * F.sum(F.col("std") ** 2)
+    between = n * dims * F.var_pop("mean")
+    return (
+        summary.select(F.inline(F.concat(*[per_dimension(how) for how in poolings])))
+        .groupBy("pooling")
+        .agg(
+            F.avg("mean").alias("mean"),
+            F.sqrt((within + between) / (n * dims - 1)).alias("stddev"),
+            F.min("min").alias("min"),
+            F.max("max").alias("max"),
+            F.avg("std").alias("mean_dim_stddev"),
+        )
     )
