@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,17 +13,27 @@ from fovea.functions.paths import ColumnOrName, _column
 IMAGENET_MEANS_BGR = (103.939, 116.779, 123.68)
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once a row.
+
+    A lambda that mentions an outer expression computes it again for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def bgr_minus_mean(pixels: ColumnOrName) -> Column:
     """RGB values to BGR values less the channel mean; array<double>."""
-    source = _column(pixels)
     means = F.array(*[F.lit(mean) for mean in IMAGENET_MEANS_BGR])
 
-    def value(_: Column, position: Column) -> Column:
-        channel = position % 3
-        mirrored = position - channel + (2 - channel)
-        return F.get(source, mirrored).cast("double") - F.get(means, channel)
+    def prepare(source: Column) -> Column:
+        def value(_: Column, position: Column) -> Column:
+            channel = position % 3
+            mirrored = position - channel + (2 - channel)
+            return F.get(source, mirrored).cast("double") - F.get(means, channel)
 
-    return F.transform(source, value)
+        return F.transform(source, value)
+
+    return _bind(_column(pixels), prepare)
 
 
 def global_pool(tensor: ColumnOrName, channels: int, how: str) -> Column:
@@ -29,22 +41,25 @@ def global_pool(tensor: ColumnOrName, channels: int, how: str) -> Column:
 
     One walk over the positions, so the work per row is the size of the tensor.
     """
-    values = _column(tensor).cast("array<double>")
-    positions = (F.size(values) / channels).cast("int")
-    pixels = F.transform(
-        F.sequence(F.lit(0), positions - 1), lambda p: F.slice(values, p * channels + 1, channels)
-    )
-    first, rest = F.get(pixels, F.lit(0)), F.slice(pixels, F.lit(2), positions)
-    if how == "max":
-        return F.aggregate(
-            rest, first, lambda acc, px: F.zip_with(acc, px, lambda a, b: F.greatest(a, b))
+    if how not in ("max", "avg"):
+        raise ValueError(f"pooling must be 'max' or 'avg', not {how!r}")
+
+    def pick(a: Column, b: Column) -> Column:
+        return F.greatest(a, b) if how == "max" else a + b
+
+    def pool(values: Column) -> Column:
+        positions = (F.size(values) / channels).cast("int")
+        first = F.slice(values, 1, channels)
+        # an empty list for a single position, where a sequence would count down
+        others = F.filter(F.sequence(F.lit(0), positions - 1), lambda p: p > 0)
+        pooled = F.aggregate(
+            others,
+            first,
+            lambda acc, p: F.zip_with(acc, F.slice(values, p * channels + 1, channels), pick),
         )
-    if how == "avg":
-        total = F.aggregate(
-            rest, first, lambda acc, px: F.zip_with(acc, px, lambda a, b: a + b)
-        )
-        return F.transform(total, lambda v: v / positions)
-    raise ValueError(f"pooling must be 'max' or 'avg', not {how!r}")
+        return pooled if how == "max" else F.transform(pooled, lambda v: v / positions)
+
+    return _bind(_column(tensor).cast("array<double>"), pool)
 
 
 def flatten_tensor(nested: ColumnOrName, levels: int = 1) -> Column:

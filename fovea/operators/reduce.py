@@ -79,21 +79,48 @@ def fit_pca(
     return PCA(k=k, inputCol=input_col, outputCol=output_col).fit(df)
 
 
-def covariance_table(df: DataFrame, vector_col: str = "vectors") -> DataFrame:
-    """Sample covariance as rows (i, j, covariance); the matrix is width x width on the driver."""
+def covariance_matrix(df: DataFrame, vector_col: str = "vectors") -> np.ndarray:
+    """Sample covariance: executors sum partial moments, the driver gets width x width numbers."""
     rows = MLUtils.convertVectorColumnsFromML(df.select(vector_col), vector_col)
-    matrix = RowMatrix(rows).computeCovariance().toArray()
-    n = len(matrix)
+    return RowMatrix(rows).computeCovariance().toArray()
+
+
+def covariance_table(df: DataFrame, vector_col: str = "vectors") -> DataFrame:
+    """`covariance_matrix` as rows (i, j, covariance)."""
+    matrix = covariance_matrix(df, vector_col)
     flat = df.sparkSession.createDataFrame(
-        [(i, matrix[i].tolist()) for i in range(n)], "i int, row array<double>"
+        [(i, row.tolist()) for i, row in enumerate(matrix)], "i int, row array<double>"
     )
     return flat.select("i", F.posexplode("row").alias("j", "covariance"))
 
 
 def scree(model: PCAModel, spark: SparkSession) -> DataFrame:
-    """(component from 1, share of variance, running total). One row per dimension, so the
-    unpartitioned window stays small whatever the size of the data."""
-    rows = [(i + 1, float(v)) for i, v in enumerate(model.explainedVariance.toArray())]
+    """(component from 1, share of variance, running total) of a fitted PCA."""
+    return _scree_table(model.explainedVariance.toArray(), spark)
+
+
+def scree_pair(df: DataFrame, vector_col: str = "vectors") -> tuple[DataFrame, DataFrame]:
+    """The curves of the raw and of the standardized vectors, from one covariance matrix.
+
+    Standardizing divides row and column i of the matrix by deviation i, so the second curve needs
+    no scaler and no second fit: two passes over the data instead of five.
+    """
+    matrix = covariance_matrix(df, vector_col)
+    deviations = np.sqrt(np.diag(matrix))
+    inverse = np.divide(1.0, deviations, out=np.zeros_like(deviations), where=deviations > 0)
+    curves = []
+    for covariance in (matrix, matrix * np.outer(inverse, inverse)):
+        variances = np.clip(np.linalg.eigvalsh(covariance)[::-1], 0, None)
+        total = variances.sum()
+        if not total > 0:
+            raise ValueError("the vectors have no variance")
+        curves.append(_scree_table(variances / total, df.sparkSession))
+    return curves[0], curves[1]
+
+
+def _scree_table(shares: np.ndarray, spark: SparkSession) -> DataFrame:
+    # one row per dimension: the unpartitioned window stays small whatever the size of the data
+    rows = [(i + 1, float(share)) for i, share in enumerate(shares)]
     table = spark.createDataFrame(rows, "component int, explained_variance double")
     running = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, 0)
     return table.withColumn("cumulative", F.sum("explained_variance").over(running))
@@ -151,13 +178,18 @@ def truncate_pca(model: PCAModel, k: int, output_col: str) -> PipelineModel:
     The full projection costs width**2 multiplications a row; a second fit would cost half of that
     plus another pass over the data.
     """
-    projected = model.getOutputCol()
-    signed = f"{output_col}_signed"
-    signs = ElementwiseProduct(
-        scalingVec=Vectors.dense(component_signs(model)), inputCol=projected, outputCol=signed
+    head = f"{output_col}_head"
+    return PipelineModel(
+        stages=[
+            model,
+            VectorSlicer(inputCol=model.getOutputCol(), outputCol=head, indices=list(range(k))),
+            ElementwiseProduct(
+                scalingVec=Vectors.dense(component_signs(model)[:k]),
+                inputCol=head,
+                outputCol=output_col,
+            ),
+        ]
     )
-    head = VectorSlicer(inputCol=signed, outputCol=output_col, indices=list(range(k)))
-    return PipelineModel(stages=[model, signs, head])
 
 
 @dataclass

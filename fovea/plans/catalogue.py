@@ -339,14 +339,6 @@ def _scree_2d(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
     return reduce.scree(reduce.fit_pca(rows, column), spark)
 
 
-def _both_screes_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, std = (
-        _scree_2d(spark, sf_dir, variant).withColumn("variant", F.lit(variant))
-        for variant in ("raw", "std")
-    )
-    return raw.unionByName(std)
-
-
 def _explained_2d(variant: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         share = rounded("explained_variance", 6).alias("explained_variance")
@@ -355,23 +347,34 @@ def _explained_2d(variant: str) -> Query:
     return query
 
 
+def _named_screes_2d(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    return list(zip(("raw", "std"), reduce.scree_pair(price_pairs(spark, sf_dir))))
+
+
 def scree_cumulative_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = rounded("cumulative", 6).alias("cumulative")
-    return _both_screes_2d(spark, sf_dir).select("variant", "component", total)
+    raw, std = (
+        curve.select(
+            F.lit(variant).alias("variant"),
+            "component",
+            rounded("cumulative", 6).alias("cumulative"),
+        )
+        for variant, curve in _named_screes_2d(spark, sf_dir)
+    )
+    return raw.unionByName(std)
 
 
 def select_k_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, std = (
-        reduce.first_reaching(_scree_2d(spark, sf_dir, variant), 0.99).select(
+        reduce.first_reaching(curve, 0.99).select(
             F.lit(variant).alias("variant"), "k", rounded("reached", 6).alias("reached")
         )
-        for variant in ("raw", "std")
+        for variant, curve in _named_screes_2d(spark, sf_dir)
     )
     return raw.unionByName(std)
 
 
 def scree_compare_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = reduce.compare_scree(*[_scree_2d(spark, sf_dir, v) for v in ("raw", "std")])
+    joined = reduce.compare_scree(*reduce.scree_pair(price_pairs(spark, sf_dir)))
     return joined.select(
         "component", *[rounded(c, 6).alias(c) for c in ("raw_cumulative", "std_cumulative", "delta")]
     )
