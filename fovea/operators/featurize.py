@@ -73,7 +73,8 @@ def feature_udf(
                 names=["features", "reason"],
             )
 
-    return apply
+    # Otherwise a filter on the result would be pushed below it with a second run of the model.
+    return apply.asNondeterministic()
 
 
 def featurize(
@@ -92,7 +93,8 @@ def featurize(
     """`keep` columns plus the feature array and, where there is none, the reason.
 
     `model_factory` runs in the worker and returns a callable from a batch (rows first) to a
-    batch; outputs of any rank are flattened to one vector a row. `partitions` spreads the input
+    batch; outputs of any rank are flattened to one vector a row. It sees every row once, whatever
+    is filtered afterwards, so filter by path or class before. `partitions` spreads the input
     first. That shuffles the raw input, so leave it out where the scan already has enough tasks;
     with a unique `partition_key` the spread needs no sort to be repeatable.
     """
