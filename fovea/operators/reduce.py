@@ -16,11 +16,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fovea.operators.moments import MAX_MOMENT_WIDTH, feature_moments, stand_in
+
 # the widest covariance MLlib computes
 MAX_WIDTH = 65_535
 
@@ -79,15 +79,9 @@ def fit_pca(
     return PCA(k=k, inputCol=input_col, outputCol=output_col).fit(df)
 
 
-def covariance_matrix(df: DataFrame, vector_col: str = "vectors") -> np.ndarray:
-    """Sample covariance: executors sum partial moments, the driver gets width x width numbers."""
-    rows = MLUtils.convertVectorColumnsFromML(df.select(vector_col), vector_col)
-    return RowMatrix(rows).computeCovariance().toArray()
-
-
-def covariance_table(df: DataFrame, vector_col: str = "vectors") -> DataFrame:
-    """`covariance_matrix` as rows (i, j, covariance)."""
-    matrix = covariance_matrix(df, vector_col)
+def covariance_table(df: DataFrame, column: str = "vectors") -> DataFrame:
+    """Sample covariance as rows (i, j, covariance)."""
+    matrix = feature_moments(df, column).covariance
     flat = df.sparkSession.createDataFrame(
         [(i, row.tolist()) for i, row in enumerate(matrix)], "i int, row array<double>"
     )
@@ -99,23 +93,19 @@ def scree(model: PCAModel, spark: SparkSession) -> DataFrame:
     return _scree_table(model.explainedVariance.toArray(), spark)
 
 
-def scree_pair(df: DataFrame, vector_col: str = "vectors") -> tuple[DataFrame, DataFrame]:
-    """The curves of the raw and of the standardized vectors, from one covariance matrix.
+def _curve(covariance: np.ndarray, spark: SparkSession) -> DataFrame:
+    variances = np.clip(np.linalg.eigvalsh(covariance)[::-1], 0, None)
+    total = variances.sum()
+    if not total > 0:
+        raise ValueError("the vectors have no variance")
+    return _scree_table(variances / total, spark)
 
-    Standardizing divides row and column i of the matrix by deviation i, so the second curve needs
-    no scaler and no second fit: two passes over the data instead of five.
-    """
-    matrix = covariance_matrix(df, vector_col)
-    deviations = np.sqrt(np.diag(matrix))
-    inverse = np.divide(1.0, deviations, out=np.zeros_like(deviations), where=deviations > 0)
-    curves = []
-    for covariance in (matrix, matrix * np.outer(inverse, inverse)):
-        variances = np.clip(np.linalg.eigvalsh(covariance)[::-1], 0, None)
-        total = variances.sum()
-        if not total > 0:
-            raise ValueError("the vectors have no variance")
-        curves.append(_scree_table(variances / total, df.sparkSession))
-    return curves[0], curves[1]
+
+def scree_pair(df: DataFrame, column: str = "vectors") -> tuple[DataFrame, DataFrame]:
+    """The curves of the raw and of the standardized vectors, from one pass over the data."""
+    moments = feature_moments(df, column)
+    raw, standardized = moments.covariance, moments.standardized_covariance()
+    return _curve(raw, df.sparkSession), _curve(standardized, df.sparkSession)
 
 
 def _scree_table(shares: np.ndarray, spark: SparkSession) -> DataFrame:
@@ -179,17 +169,13 @@ def truncate_pca(model: PCAModel, k: int, output_col: str) -> PipelineModel:
     plus another pass over the data.
     """
     head = f"{output_col}_head"
-    return PipelineModel(
-        stages=[
-            model,
-            VectorSlicer(inputCol=model.getOutputCol(), outputCol=head, indices=list(range(k))),
-            ElementwiseProduct(
-                scalingVec=Vectors.dense(component_signs(model)[:k]),
-                inputCol=head,
-                outputCol=output_col,
-            ),
-        ]
-    )
+    cut = VectorSlicer(inputCol=model.getOutputCol(), outputCol=head, indices=list(range(k)))
+    return PipelineModel(stages=[model, cut, _sign_stage(model, k, head, output_col)])
+
+
+def _sign_stage(model: PCAModel, k: int, input_col: str, output_col: str) -> ElementwiseProduct:
+    signs = Vectors.dense(component_signs(model)[:k])
+    return ElementwiseProduct(scalingVec=signs, inputCol=input_col, outputCol=output_col)
 
 
 @dataclass
@@ -209,19 +195,35 @@ def fit_reduction(
     with_mean: bool = False,
     threshold: float = 0.99,
     if_never: str = "raise",
+    features_col: str | None = None,
 ) -> Reduction:
-    """Scale (optional), fit one full PCA, choose k, cut.
+    """Scale (optional), choose k from the explained variance, project on k components.
 
-    Reads `df` once for the scaler and twice for the PCA: give it a staged table.
+    Reads `df` once, for its moments (from `features_col` where the vectors also exist as arrays);
+    scaler and PCA are fitted on the table that stands in for them. Vectors too wide for that take
+    a scaler pass and one full PCA, cut to k. Either way, give it a staged table.
     """
-    stages, source = [], input_col
+    spark, stages, source = df.sparkSession, [], input_col
+    wide = vector_width(df, input_col) > MAX_MOMENT_WIDTH
+    if wide:
+        data = df
+    else:
+        moments = feature_moments(df, features_col or input_col)
+        data = stand_in(moments, spark, input_col)
     if standardize or with_mean:
         source = f"{input_col}_std"
-        scaler = fit_scaler(df, input_col, source, with_mean, with_std=standardize)
-        stages.append(scaler)
-        df = scaler.transform(df)
-    pca = fit_pca(df, source, f"{output_col}_full")
-    curve = scree(pca, df.sparkSession)
-    k = select_k(curve, threshold, if_never)
-    stages.append(truncate_pca(pca, k, output_col))
+        stages.append(fit_scaler(data, input_col, source, with_mean, with_std=standardize))
+        data = stages[-1].transform(data)
+    full = f"{output_col}_full"
+    if wide:
+        pca = fit_pca(data, source, full)
+        curve = scree(pca, spark)
+        k = select_k(curve, threshold, if_never)
+        stages.append(truncate_pca(pca, k, output_col))
+    else:
+        covariance = moments.standardized_covariance() if standardize else moments.covariance
+        curve = _curve(covariance, spark)
+        k = select_k(curve, threshold, if_never)
+        pca = fit_pca(data, source, full, k)
+        stages += [pca, _sign_stage(pca, k, full, output_col)]
     return Reduction(PipelineModel(stages=stages), k, curve)

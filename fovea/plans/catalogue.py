@@ -52,7 +52,7 @@ def weights(inputs: int, outputs: int) -> np.ndarray:
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
-    return reduce.with_vectors(embeddings, "embedding").drop("embedding")
+    return reduce.with_vectors(embeddings, "embedding")
 
 
 def price_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def price_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", F.array("l_quantity", "l_extendedprice").alias("features")
     )
-    return reduce.with_vectors(items).drop("features")
+    return reduce.with_vectors(items)
 
 
 # --- sources and sinks
@@ -226,16 +226,20 @@ def pooling_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("pooling", *[rounded(c).alias(c) for c in report.columns[1:]])
 
 
-def featurize_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = featurize(
-        table(spark, sf_dir, "embeddings"),
-        linear_model(spark, weights(64, 8)),
-        tensor_stack((64,), np.float64),
-        "embedding",
-        ["vec_id"],
-        element="double",
-    )
-    return long_form(features, ["vec_id"], F.col("features"), "dim")
+def _featurize_linear(**options) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        features = featurize(
+            table(spark, sf_dir, "embeddings"),
+            linear_model(spark, weights(64, 8)),
+            tensor_stack((64,), np.float64),
+            "embedding",
+            ["vec_id"],
+            element="double",
+            **options,
+        )
+        return long_form(features, ["vec_id"], F.col("features"), "dim")
+
+    return query
 
 
 def _image_features(features: DataFrame) -> DataFrame:
@@ -328,7 +332,7 @@ def scaler_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matrix = reduce.covariance_table(vectors(spark, sf_dir))
+    matrix = reduce.covariance_table(table(spark, sf_dir, "embeddings"), "embedding")
     return matrix.select("i", "j", rounded("covariance", 6).alias("covariance"))
 
 
@@ -348,7 +352,7 @@ def _explained_2d(variant: str) -> Query:
 
 
 def _named_screes_2d(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
-    return list(zip(("raw", "std"), reduce.scree_pair(price_pairs(spark, sf_dir))))
+    return list(zip(("raw", "std"), reduce.scree_pair(price_pairs(spark, sf_dir), "features")))
 
 
 def scree_cumulative_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,7 +378,7 @@ def select_k_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scree_compare_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = reduce.compare_scree(*reduce.scree_pair(price_pairs(spark, sf_dir)))
+    joined = reduce.compare_scree(*reduce.scree_pair(price_pairs(spark, sf_dir), "features"))
     return joined.select(
         "component", *[rounded(c, 6).alias(c) for c in ("raw_cumulative", "std_cumulative", "delta")]
     )
@@ -483,7 +487,7 @@ def feature_table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table read as a stream and scored with the model fitted in batch."""
     rows = price_pairs(spark, sf_dir)
-    model = reduce.fit_reduction(rows, output_col="reduced").model
+    model = reduce.fit_reduction(rows, output_col="reduced", features_col="features").model
     source = table(spark, sf_dir, "lineitem").schema
     # as a glob: a plain path to a stream has to be a folder, and the table may be a single file
     stream = spark.readStream.schema(source).parquet(f"{sf_dir}/lineitem.parque[t]")
@@ -524,7 +528,8 @@ QUERIES: dict[str, Query] = {
     "featurize_max_pool": _featurize_pool("max"),
     "featurize_avg_pool": _featurize_pool("avg"),
     "pooling_report": pooling_comparison,
-    "featurize_linear": featurize_linear,
+    "featurize_linear": _featurize_linear(),
+    "featurize_spread": _featurize_linear(batch_rows=64, partitions=4, partition_key="vec_id"),
     "featurize_files": featurize_files,
     "featurize_images": featurize_images,
     "shape_validate": shape_validate,

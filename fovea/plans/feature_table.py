@@ -24,7 +24,9 @@ def reduce_features(
 ) -> tuple[DataFrame, Reduction]:
     """(keep..., reduced vector) from a staged table of feature arrays, and the fitted model."""
     vectors = with_vectors(features.select(*keep, features_col), features_col)
-    reduction = fit_reduction(vectors, output_col=output_col, **options)
+    reduction = fit_reduction(
+        vectors, output_col=output_col, features_col=features_col, **options
+    )
     return reduction.model.transform(vectors).select(*keep, output_col), reduction
 
 

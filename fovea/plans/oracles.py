@@ -188,6 +188,11 @@ SELECT pooling, round(avg(v), 4) + 0.0 AS mean, round(stddev_samp(v), 4) + 0.0 A
 FROM long JOIN spread USING (pooling) GROUP BY pooling""",
     "featurize_linear": f"""
 WITH {ELEMENTS}
+SELECT vec_id, j::INTEGER AS dim,
+       round(greatest(sum(v * ((7 * d + 3 * j) % 5 - 2)), 0), 4) + 0.0 AS value
+FROM elements, range(8) outputs(j) GROUP BY vec_id, j""",
+    "featurize_spread": f"""
+WITH {ELEMENTS}
 SELECT vec_id, j::INTEGER AS dim,
        round(greatest(sum(v * ((7 * d + 3 * j) % 5 - 2)), 0), 4) + 0.0 AS value
 FROM elements, range(8) outputs(j) GROUP BY vec_id, j""",
