@@ -385,25 +385,30 @@ def scree_compare_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scree_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    zoomed = reduce.scree_zoom(_scree_2d(spark, sf_dir, "std"))
+    _, standardized = reduce.scree_pair(price_pairs(spark, sf_dir), "features")
+    zoomed = reduce.scree_zoom(standardized)
     return zoomed.select("component", rounded("cumulative", 6).alias("cumulative"), "above_threshold")
 
 
-def _projection_2d(k: int) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = price_pairs(spark, sf_dir)
-        scaler = reduce.fit_scaler(rows)
-        scaled = scaler.transform(rows)
-        model = reduce.truncate_pca(reduce.fit_pca(scaled, "vectors_std"), k, "reduced")
-        return long_form(
-            model.transform(scaled),
-            ["l_orderkey", "l_linenumber"],
-            vector_to_array("reduced"),
-            "component",
-            start=1,
-        )
+def _long_projection(projected: DataFrame) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber"]
+    return long_form(projected, keys, vector_to_array("reduced"), "component", start=1)
+
+
+def pca_transform_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = price_pairs(spark, sf_dir)
+    fitted = reduce.fit_reduction(
+        rows, output_col="reduced", features_col="features", threshold=2.0, if_never="all"
+    )
+    return _long_projection(fitted.model.transform(rows))
 
-    return query
+
+def pca_truncate_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full PCA fitted on the data itself, cut to one component without a second fit."""
+    rows = price_pairs(spark, sf_dir)
+    scaled = reduce.fit_scaler(rows).transform(rows)
+    model = reduce.truncate_pca(reduce.fit_pca(scaled, "vectors_std"), 1, "reduced")
+    return _long_projection(model.transform(scaled))
 
 
 def pca_raw_variance_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,14 +498,11 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(source).parquet(f"{sf_dir}/lineitem.parque[t]")
     pairs = F.array("l_quantity", "l_extendedprice")
     arriving = reduce.with_vectors(stream.withColumn("features", pairs))
-    keys = ["l_orderkey", "l_linenumber"]
+    keep = ["l_orderkey", "l_linenumber", "reduced"]
     folder = shared_dir(spark, "stream")
-    query = score_stream(
-        arriving, model, [*keys, "reduced"], f"{folder}/scores", f"{folder}/checkpoint"
-    )
+    query = score_stream(arriving, model, keep, f"{folder}/scores", f"{folder}/checkpoint")
     query.awaitTermination()
-    scores = spark.read.parquet(f"{folder}/scores")
-    return long_form(scores, keys, vector_to_array("reduced"), "component", 1)
+    return _long_projection(spark.read.parquet(f"{folder}/scores"))
 
 
 QUERIES: dict[str, Query] = {
@@ -544,8 +546,8 @@ QUERIES: dict[str, Query] = {
     "select_k_2d": select_k_2d,
     "scree_compare_2d": scree_compare_2d,
     "scree_zoom": scree_zoom,
-    "pca_transform_2d": _projection_2d(2),
-    "pca_truncate_2d": _projection_2d(1),
+    "pca_transform_2d": pca_transform_2d,
+    "pca_truncate_2d": pca_truncate_2d,
     "pca_raw_variance_2d": pca_raw_variance_2d,
     "pca_invariants": pca_invariants,
     "pca_norms": pca_norms,

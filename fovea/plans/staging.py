@@ -20,10 +20,13 @@ SHAPE = (SIDE, SIDE, 3)
 _staged: dict[tuple[str, str], str] = {}
 
 
-def bitmap_header() -> bytes:
-    """Header of an uncompressed 24-bit bitmap of SIDE x SIDE pixels, stored bottom row first."""
-    size = SIDE * SIDE * 3
-    info = struct.pack("<IiiHHIIiiII", 40, SIDE, SIDE, 1, 24, 0, size, 2835, 2835, 0, 0)
+def bitmap_header(side: int = SIDE) -> bytes:
+    """Header of an uncompressed 24-bit bitmap of side x side pixels, stored bottom row first.
+
+    `side` has to be a multiple of four, else the rows would need padding.
+    """
+    size = side * side * 3
+    info = struct.pack("<IiiHHIIiiII", 40, side, side, 1, 24, 0, size, 2835, 2835, 0, 0)
     return struct.pack("<2sIHHI", b"BM", 54 + size, 0, 0, 54) + info
 
 
