@@ -38,8 +38,13 @@ def rounded(value: Column | str, digits: int = 4) -> Column:
 
 
 def long_form(df: DataFrame, keys: list[str], array: Column, index: str, start: int = 0) -> DataFrame:
-    """(keys..., index, value): one row per array element."""
-    return df.select(*keys, F.posexplode(array).alias("_at", "_value")).select(
+    """(keys..., index, value): one row per array element.
+
+    From a plain explode Spark derives a filter on the array's size, which would compute the array
+    a second time; the outer one with the filter behind it gives the same rows.
+    """
+    elements = df.select(*keys, F.posexplode_outer(array).alias("_at", "_value"))
+    return elements.where(F.col("_at").isNotNull()).select(
         *keys, (F.col("_at") + start).alias(index), rounded("_value").alias("value")
     )
 
