@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fovea.functions.tensors import global_pool
 from fovea.operators.images import Stacker
+from fovea.operators.moments import MAX_PARTIALS
 from fovea.session import ship_package
 
 Model = Callable[[np.ndarray], np.ndarray]
@@ -123,7 +124,7 @@ def pooling_report(df: DataFrame, tensor_col: str, channels: int) -> DataFrame:
     One pass computes both; what is left to group is one row per pooling and channel.
     """
     poolings, metrics = ("max", "avg"), ("mean", "std", "min", "max")
-    summary = df.select(
+    summary = df.coalesce(MAX_PARTIALS).select(
         *[
             Summarizer.metrics("count", *metrics)
             .summary(array_to_vector(global_pool(tensor_col, channels, how)))

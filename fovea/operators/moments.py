@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 # Beyond this width the driver's share (width x width numbers) is no longer small.
 MAX_MOMENT_WIDTH = 4096
+# Tasks that may send a partial result to the final sum; merging scan tasks moves no data.
+MAX_PARTIALS = 10_000
 # Rows looked at for the point that sums are taken about; odd, so that a median is a data value.
 ORIGIN_ROWS = 101
 
@@ -46,12 +48,12 @@ def _as_arrays(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.col(column).alias("x"))
 
 
-def feature_moments(df: DataFrame, column: str, max_partials: int = 10_000) -> Moments:
+def feature_moments(df: DataFrame, column: str, max_partials: int = MAX_PARTIALS) -> Moments:
     """Sample moments of an array or vector column without NULLs, all rows of one width.
 
     Each task sums its own batches by matrix products and sends one row per dimension, and the
     rows of a dimension are added up after one shuffle. `max_partials` bounds the tasks, since
-    each sends half a matrix; merging scan tasks moves no data.
+    each sends half a matrix.
     """
     arrays = _as_arrays(df, column)
     sample = np.array([row["x"] for row in arrays.limit(ORIGIN_ROWS).collect()], dtype=np.float64)

@@ -429,17 +429,24 @@ def pca_raw_variance_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum of squared variance shares over all 64 dimensions, raw and standardized."""
+    """Mean powers of the 64 eigenvalues relative to their mean, raw and standardized.
+
+    SQL has no eigenvalues, but their power sums are traces of powers of the covariance matrix.
+    """
     rows = vectors(spark, sf_dir)
     scaled = reduce.fit_scaler(rows).transform(rows)
+    powers = F.explode(F.array(*[F.lit(p) for p in (2, 3, 4)]))
     raw, std = (
-        reduce.scree(reduce.fit_pca(rows, column), spark).agg(
-            F.lit(variant).alias("variant"),
-            rounded(F.sum(F.col("explained_variance") ** 2), 8).alias("sum_squared_shares"),
-        )
-        for variant, rows, column in (("raw", rows, "vectors"), ("std", scaled, "vectors_std"))
+        reduce.scree(reduce.fit_pca(data, column), spark)
+        .select("explained_variance", F.lit(variant).alias("variant"), powers.alias("power"))
+        for variant, data, column in (("raw", rows, "vectors"), ("std", scaled, "vectors_std"))
+    )
+    relative = F.pow(F.col("explained_variance") * 64, "power")
+    return (
+        raw.unionByName(std)
+        .groupBy("variant", "power")
+        .agg(rounded(F.avg(relative), 6).alias("mean_power"))
     )
-    return raw.unionByName(std)
 
 
 def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,15 +245,22 @@ SELECT 1 AS component, round(log10(l1), 5) + 0.0 AS log_variance FROM roots
 UNION ALL SELECT 2, round(log10(l2), 5) + 0.0 FROM roots""",
     "pca_invariants": f"""
 WITH {ELEMENTS},
-cells AS (
+moments AS (
   SELECT x.d AS i, y.d AS j, covar_samp(x.v, y.v) AS c, corr(x.v, y.v) AS r
   FROM elements x JOIN elements y USING (vec_id) GROUP BY x.d, y.d),
+matrices AS (
+  SELECT 'raw' AS variant, i, j, c / avg(c) FILTER (WHERE i = j) OVER () AS m FROM moments
+  UNION ALL SELECT 'std', i, j, r FROM moments),
+squares AS (
+  SELECT x.variant, x.i, y.j, sum(x.m * y.m) AS m
+  FROM matrices x JOIN matrices y ON x.variant = y.variant AND x.j = y.i
+  GROUP BY x.variant, x.i, y.j),
 traces AS (
-  SELECT sum(c * c) AS cc, sum(c) FILTER (WHERE i = j) AS tc,
-         sum(r * r) AS rr, sum(r) FILTER (WHERE i = j) AS tr
-  FROM cells)
-SELECT 'raw' AS variant, round(cc / (tc * tc), 8) + 0.0 AS sum_squared_shares FROM traces
-UNION ALL SELECT 'std', round(rr / (tr * tr), 8) + 0.0 FROM traces""",
+  SELECT variant, sum(s.m) FILTER (WHERE i = j) AS p2, sum(s.m * a.m) AS p3, sum(s.m * s.m) AS p4
+  FROM squares s JOIN matrices a USING (variant, i, j) GROUP BY variant)
+SELECT variant, power, round(CASE power WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END / 64, 6) + 0.0
+       AS mean_power
+FROM traces, (SELECT unnest([2, 3, 4])::INTEGER AS power)""",
     "pca_norms": f"""
 WITH {ELEMENTS}, stds AS (SELECT d, stddev_samp(v) AS s FROM elements GROUP BY d)
 SELECT vec_id, round(sum((v / s) ** 2), 4) + 0.0 AS squared_length

@@ -76,6 +76,13 @@ def read_delimited(
     return reader.csv(path)
 
 
+def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Files of a folder with size and time, e.g. to look at what was written. Reads no contents."""
+    return read_binary(spark, path, recursive=recursive).select(
+        "path", "length", "modificationTime"
+    )
+
+
 def dataset_inventory(files: DataFrame, path_col: str = "path", size_col: str = "length") -> DataFrame:
     """Files and bytes per class. On a binaryFile scan only listing metadata is read."""
     return (

@@ -5,7 +5,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pytest
-from fixture_files import bmp
+from fixture_files import bmp, png
 from pyspark.sql import functions as F
 
 from conftest import picture
@@ -29,6 +29,12 @@ def test_decode_bitmap_refuses(content):
         images.decode_bitmap(content)
 
 
+def test_decode_pillow():
+    pytest.importorskip("PIL")
+    pixels = picture(3, 6, 5)
+    assert (images.decode_pillow(png(pixels)) == pixels).all()
+
+
 def test_preprocessing_flips_rgb_only():
     batch = np.stack([picture(1), picture(2)])
     expected = batch[..., ::-1] - MEANS

@@ -63,6 +63,16 @@ def test_invalid_images_are_marked(spark, image_root):
     assert sorted(r.p.rsplit("/", 1)[1] for r in bad) == ["bad.png", "notes.txt"]
 
 
+def test_list_files(spark, image_root, tmp_path):
+    pear = files.list_files(spark, image_root + "/Pear")
+    assert "content" not in pear.columns and pear.count() == 4
+    assert files.list_files(spark, image_root, recursive=True).count() == 16
+    out = str(tmp_path / "out")
+    sinks.write_table(spark.range(10).coalesce(1), out)
+    names = [r["path"] for r in files.list_files(spark, out).collect()]
+    assert len(names) == 1 and names[0].endswith(".parquet")
+
+
 def test_inventory(spark, image_root):
     rows = files.dataset_inventory(files.read_class_tree(spark, image_root)).collect()
     assert {r["class"]: r["n_files"] for r in rows} == {"Apple Red": 6, "Pear": 4, "Plum": 5}

@@ -57,7 +57,7 @@ def random_features(spark, rows: int, width: int):
 
 
 def random_bitmaps(spark, rows: int):
-    """100x100 bitmaps as content, the size of image the reference features are made for."""
+    """100x100 bitmaps of random pixels."""
     header = bitmap_header(100)
 
     def make(batches):
