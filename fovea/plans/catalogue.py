@@ -480,6 +480,23 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table with each vector summed up in its first component and its squared length.
+
+    Those need only the first and the last eigenvector, which SQL can get by squaring matrices.
+    """
+    labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
+    reduced, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    values = vector_to_array("features_std_pca")
+    return reduced.select("vec_id", "class", values.alias("v")).select(
+        "vec_id",
+        "class",
+        F.lit(fitted.k).alias("k"),
+        rounded(F.get("v", F.lit(0))).alias("first_component"),
+        rounded(F.aggregate("v", F.lit(0.0), lambda acc, v: acc + v * v)).alias("squared_length"),
+    )
+
+
 def feature_table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From files to the written feature table, with two features so that SQL can follow."""
     scan = files.read_class_tree(spark, staged_files(spark, sf_dir)).withColumn(
@@ -565,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "pca_norms": pca_norms,
     "scree_embeddings": scree_embeddings,
     "feature_table": feature_table,
+    "feature_table_ends": feature_table_ends,
     "feature_table_files": feature_table_files,
     "stream_scores": stream_scores,
 }
