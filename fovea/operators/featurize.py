@@ -19,6 +19,8 @@ from fovea.session import ship_package
 
 Model = Callable[[np.ndarray], np.ndarray]
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _worker_models: dict[str, Model] = {}
 
 
@@ -32,7 +34,7 @@ def _load_once(key: str, factory: Callable[[], Model]) -> Model:
 
 def set_batch_rows(spark: SparkSession, rows: int) -> None:
     """Bound the rows per Arrow batch, for records large enough to exhaust a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set(ARROW_ROWS, str(rows))
 
 
 def _feature_column(features: list[np.ndarray], good: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -97,9 +99,13 @@ def featurize(
     batch; outputs of any rank are flattened to one vector a row. It sees every row once, whatever
     is filtered afterwards, so filter by path or class before. `partitions` spreads the input
     first. That shuffles the raw input, so leave it out where the scan already has enough tasks;
-    with a unique `partition_key` the spread needs no sort to be repeatable.
+    with a unique `partition_key` the spread needs no sort to be repeatable. If the session's Arrow
+    batches are larger than `batch_rows`, they are lowered to it.
     """
-    ship_package(df.sparkSession)
+    spark = df.sparkSession
+    ship_package(spark)
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= batch_rows:
+        set_batch_rows(spark, batch_rows)
     rows = df.select(*keep, input_col) if input_col not in keep else df.select(*keep)
     if partitions:
         rows = rows.repartition(partitions, *([partition_key] if partition_key else []))

@@ -30,12 +30,16 @@ def bgr_minus_mean_batch(
     return batch.astype(dtype) - np.asarray(IMAGENET_MEANS_BGR, dtype)
 
 
-def decode_pillow(content: bytes) -> np.ndarray:
-    """Any format Pillow reads, in its own channels: (height, width) or (height, width, channels)."""
+def decode_pillow(content: bytes, mode: str | None = None) -> np.ndarray:
+    """Any format Pillow reads: (height, width) or (height, width, channels).
+
+    Channels are the file's own unless `mode` converts them, e.g.
+    `functools.partial(decode_pillow, mode="RGB")` to accept gray and transparent images too.
+    """
     from PIL import Image
 
     with Image.open(io.BytesIO(content)) as picture:
-        return np.asarray(picture)
+        return np.asarray(picture.convert(mode) if mode else picture)
 
 
 def decode_bitmap(content: bytes) -> np.ndarray:

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 MAX_MOMENT_WIDTH = 4096
 # Tasks that may send a partial result to the final sum; merging scan tasks moves no data.
 MAX_PARTIALS = 10_000
+# Values multiplied at a time, 32 MB as doubles.
+BLOCK_VALUES = 4_000_000
 # Rows looked at for the point that sums are taken about; odd, so that a median is a data value.
 ORIGIN_ROWS = 101
 
@@ -65,17 +67,20 @@ def feature_moments(df: DataFrame, column: str, max_partials: int = MAX_PARTIALS
     if width > MAX_MOMENT_WIDTH:
         raise ValueError(f"{width} dimensions; moments take at most {MAX_MOMENT_WIDTH}")
 
+    step = max(BLOCK_VALUES // width, 1)
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, total, products = 0, np.zeros(width), np.zeros((width, width))
         for batch in batches:
-            lists = batch.column(0)
-            if (lists.value_lengths().to_numpy(zero_copy_only=False) != width).any():
-                raise ValueError(f"not every row has {width} dimensions")
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            rows = flat.reshape(-1, width) - origin
-            count += len(rows)
-            total += rows.sum(axis=0)
-            products += rows.T @ rows
+            for start in range(0, batch.num_rows, step):
+                lists = batch.column(0).slice(start, step)
+                if (lists.value_lengths().to_numpy(zero_copy_only=False) != width).any():
+                    raise ValueError(f"not every row has {width} dimensions")
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                rows = flat.reshape(-1, width) - origin
+                count += len(rows)
+                total += rows.sum(axis=0)
+                products += rows.T @ rows
         if count:
             sums = [total, *(products[i, i:] for i in range(width))]
             dims = pa.array(range(-1, width), pa.int32())

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from conftest import picture
 from fovea.functions.paths import plain_path
 from fovea.operators import backends
-from fovea.operators.featurize import featurize, pooling_report, set_batch_rows, split_rejects
+from fovea.operators.featurize import (
+    ARROW_ROWS,
+    featurize,
+    pooling_report,
+    set_batch_rows,
+    split_rejects,
+)
 from fovea.operators.images import bgr_minus_mean_batch, decode_bitmap
 from fovea.operators.images import file_stack, image_stack, tensor_stack
 from fovea.session import stage
@@ -39,8 +45,7 @@ def test_linear_model(spark, tensor_rows):
 @pytest.mark.parametrize("batch_rows, arrow_rows", [(1, 7), (3, 1000), (1024, 1), (64, 64)])
 def test_result_does_not_depend_on_batches_or_partitions(spark, tensor_rows, batch_rows, arrow_rows):
     df, values = tensor_rows
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
+    before = spark.conf.get(ARROW_ROWS)
     set_batch_rows(spark, arrow_rows)
     try:
         out = featurize(
@@ -56,11 +61,23 @@ def test_result_does_not_depend_on_batches_or_partitions(spark, tensor_rows, bat
         assert out.rdd.getNumPartitions() == 3
         found = features(out)
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(ARROW_ROWS, before)
     expected = values.reshape(500, 4, 3).max(axis=1)
     assert (np.array([found[i] for i in range(500)], np.float32) == expected).all()
 
 
+def test_arrow_batches_are_lowered_to_the_model_batch(spark, tensor_rows):
+    df, _ = tensor_rows
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        for session, batch, expected in ((10_000, 100, 100), (50, 100, 50), (0, 100, 100)):
+            set_batch_rows(spark, session)
+            featurize(df, lambda: abs, tensor_stack((12,)), "t", ["id"], batch_rows=batch)
+            assert spark.conf.get(ARROW_ROWS) == str(expected)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def test_outputs_of_any_rank_are_flattened(spark, tensor_rows):
     df, values = tensor_rows
     out = featurize(df, lambda: lambda batch: batch * 2, tensor_stack((2, 2, 3)), "t", ["id"])

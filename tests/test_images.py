@@ -33,6 +33,9 @@ def test_decode_pillow():
     pytest.importorskip("PIL")
     pixels = picture(3, 6, 5)
     assert (images.decode_pillow(png(pixels)) == pixels).all()
+    gray = picture(4, 6, 5, 1)
+    assert images.decode_pillow(png(gray)).shape == (6, 5)
+    assert (images.decode_pillow(png(gray), mode="RGB") == gray).all()
 
 
 def test_preprocessing_flips_rgb_only():

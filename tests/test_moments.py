@@ -52,6 +52,14 @@ def test_fewer_tasks_give_the_same(spark, partials):
     assert np.allclose(found.covariance, np.cov(values.T))
 
 
+@pytest.mark.parametrize("block", [1, 10, 17])
+def test_block_size_does_not_matter(spark, monkeypatch, block):
+    monkeypatch.setattr(m, "BLOCK_VALUES", block)
+    values = np.random.default_rng(12).normal(size=(60, 4))
+    found = m.feature_moments(frame(spark, values, 2), "features")
+    assert found.n == 60 and np.allclose(found.covariance, np.cov(values.T))
+
+
 def test_float_arrays(spark):
     values = np.random.default_rng(9).normal(size=(90, 5)).astype(np.float32)
     df = frame(spark, values).select(F.col("features").cast("array<float>").alias("f"))
