@@ -16,7 +16,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fovea.operators.moments import MAX_MOMENT_WIDTH, feature_moments, stand_in
@@ -109,11 +109,14 @@ def scree_pair(df: DataFrame, column: str = "vectors") -> tuple[DataFrame, DataF
 
 
 def _scree_table(shares: np.ndarray, spark: SparkSession) -> DataFrame:
-    # one row per dimension: the unpartitioned window stays small whatever the size of the data
-    rows = [(i + 1, float(share)) for i, share in enumerate(shares)]
-    table = spark.createDataFrame(rows, "component int, explained_variance double")
-    running = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, 0)
-    return table.withColumn("cumulative", F.sum("explained_variance").over(running))
+    # one row per dimension, and the shares are here already: no job for a running total
+    rows = [
+        (i + 1, float(share), float(total))
+        for i, (share, total) in enumerate(zip(shares, np.cumsum(shares)))
+    ]
+    return spark.createDataFrame(
+        rows, "component int, explained_variance double, cumulative double"
+    )
 
 
 def first_reaching(scree_table: DataFrame, threshold: float = 0.99) -> DataFrame:
