@@ -129,13 +129,17 @@ def first_reaching(scree_table: DataFrame, threshold: float = 0.99) -> DataFrame
 
 
 def select_k(scree_table: DataFrame, threshold: float = 0.99, if_never: str = "raise") -> int:
-    """`first_reaching` as a number; `if_never='all'` keeps every component instead of raising."""
-    k = first_reaching(scree_table, threshold).first()["k"]
-    if k is None:
-        if if_never != "all":
-            raise ValueError(f"the components never reach {threshold} of the variance")
-        k = scree_table.count()
-    return k
+    """`first_reaching` as a number; `if_never='all'` keeps every component instead of raising.
+
+    Looks through the curve here: it has one row per dimension and is no work for a job.
+    """
+    totals = {row["component"]: row["cumulative"] for row in scree_table.collect()}
+    reaching = [component for component, total in totals.items() if total >= threshold]
+    if reaching:
+        return min(reaching)
+    if if_never != "all":
+        raise ValueError(f"the components never reach {threshold} of the variance")
+    return len(totals)
 
 
 def compare_scree(raw: DataFrame, standardized: DataFrame) -> DataFrame:

@@ -255,7 +255,7 @@ def featurize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw bytes, decoded in the UDF."""
     scan = files.read_class_tree(spark, staged_files(spark, sf_dir)).select(
         paths.class_from_path("path").alias("class"),
-        F.md5(F.hex(F.substring("content", 55, 192))).alias("image_key"),
+        F.md5("content").alias("image_key"),
         "content",
     )
     features = featurize(
@@ -270,7 +270,7 @@ def featurize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def featurize_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Images decoded by the JVM reader. They come top row first, so the key differs."""
+    """Images decoded by the JVM reader, keyed by their pixels: the file's bytes are gone."""
     images = files.read_images(spark, staged_files(spark, sf_dir) + "/*")
     scan = images.select(
         paths.class_from_path(paths.plain_path("image.origin")).alias("class"),
@@ -500,7 +500,7 @@ def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From files to the written feature table, with two features so that SQL can follow."""
     scan = files.read_class_tree(spark, staged_files(spark, sf_dir)).withColumn(
-        "image_key", F.md5(F.hex(F.substring("content", 55, 192)))
+        "image_key", F.md5("content")
     )
     result, _, _ = build_feature_table(
         scan,

@@ -35,6 +35,8 @@ images AS (
          string_agg(bgr, '' ORDER BY shown) AS shown_hex
   FROM coded GROUP BY vec_id, label)"""
 
+FILE_BYTES = f"unhex('{bitmap_header().hex()}' || stored_hex || '0A')"
+
 CHANNELS = f"""{PIXELS},
 channels AS (
   SELECT vec_id, shown * 3 + 0 AS i, (7 * p) % 256 - 103.939::DOUBLE AS x FROM pixels
@@ -135,7 +137,7 @@ ORACLES: dict[str, str] = {
     "binary_scan": f"""
 WITH {PIXELS}
 SELECT class, (54 + 192 + 1)::BIGINT AS length,
-       md5(unhex('{bitmap_header().hex()}' || stored_hex || '0A')) AS content_md5
+       md5({FILE_BYTES}) AS content_md5
 FROM images
 UNION ALL
 SELECT 'label=page', (strlen(html) + 1)::BIGINT, md5(html || chr(10)) FROM pages""",
@@ -215,7 +217,7 @@ WITH {ELEMENTS}
 SELECT vec_id, j::INTEGER AS dim,
        round(greatest(sum(v * ((7 * d + 3 * j) % 5 - 2)), 0), 4) + 0.0 AS value
 FROM elements, range(8) outputs(j) GROUP BY vec_id, j""",
-    "featurize_files": _image_features("stored_hex"),
+    "featurize_files": _image_features(FILE_BYTES),
     "featurize_images": _image_features("shown_hex"),
     "shape_validate": """
 SELECT 'label=' || label AS class, 'accepted' AS outcome, count(*) AS n
@@ -326,7 +328,7 @@ features AS (
   FROM channels GROUP BY vec_id),
 stats AS (
   SELECT stddev_samp(f0) AS s0, stddev_samp(f1) AS s1, corr(f0, f1) AS r FROM features)
-SELECT class, md5(stored_hex) AS image_key, component,
+SELECT class, md5({FILE_BYTES}) AS image_key, component,
        round((f0 / s0 + CASE WHEN component = 1 THEN 1 ELSE -1 END * sign(r) * f1 / s1)
              / sqrt(2), 4) + 0.0 AS value
 FROM features JOIN images USING (vec_id), stats, (SELECT unnest([1, 2])::INTEGER AS component)

@@ -46,7 +46,7 @@ def read_class_tree(spark: SparkSession, root: str, pattern: str | None = None)
     files = read_binary(spark, f"{root}/*", pattern)
     files = files.select("path", "modificationTime", "length", "content")
     name = root.rsplit("/", 1)[-1]
-    if not GLOB_CHARACTERS & set(name):
+    if name.strip(".") and not GLOB_CHARACTERS & set(name):
         # a file lying directly in root matches the glob too, but has no class
         files = files.where(F.try_element_at(path_segments("path"), F.lit(-3)) == name)
     return files

@@ -25,6 +25,15 @@ def test_class_tree_is_the_two_level_glob(spark, image_root):
     assert sorted(tree.collect()) == sorted(glob.collect())
 
 
+def test_class_tree_of_a_glob_or_relative_root(spark, image_root):
+    parent = image_root.rsplit("/", 1)[0]
+    by_glob = files.read_class_tree(spark, parent + "/train*").select("path")
+    # the root's name is a pattern, so the file without a class cannot be told apart
+    assert by_glob.count() == 16
+    here = files.read_class_tree(spark, image_root + "/.").select("path")
+    assert here.count() == 16
+
+
 def test_pattern_and_recursion(spark, image_root):
     assert files.read_class_tree(spark, image_root, "*.txt").count() == 1
     everything = files.read_binary(spark, image_root, recursive=True)
@@ -168,6 +177,21 @@ def test_shared_dir_follows_the_session(spark):
     assert first.startswith(base + "/x-") and first != second
 
 
+def test_a_cluster_has_to_name_its_shared_folder():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster(), "x")
+
+
 def test_stage_reads_back_the_same(spark):
     df = spark.createDataFrame([(1, [1.0, None], bytearray(b"x"))], "a int, f array<float>, b binary")
     staged = session.stage(df, "t")
