@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
-def _column(value: ColumnOrName) -> Column:
+def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
 def path_segments(path: ColumnOrName) -> Column:
-    return F.split(_column(path), "/")
+    return F.split(as_column(path), "/")
 
 
 def class_from_path(path: ColumnOrName) -> Column:
@@ -26,7 +26,7 @@ def percent_encode(text: ColumnOrName) -> Column:
 
     Spark's url_encode writes form encoding, which differs in these three characters.
     """
-    encoded = F.url_encode(_column(text))
+    encoded = F.url_encode(as_column(text))
     for form, percent in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
         encoded = F.replace(encoded, F.lit(form), F.lit(percent))
     return encoded
@@ -34,10 +34,10 @@ def percent_encode(text: ColumnOrName) -> Column:
 
 def format_uri(template: str, *parts: ColumnOrName) -> Column:
     """printf-style URI template over columns, e.g. `s3a://%s/%s`."""
-    return F.format_string(template, *[_column(part) for part in parts])
+    return F.format_string(template, *[as_column(part) for part in parts])
 
 
 def plain_path(origin: ColumnOrName) -> Column:
     """The image source's percent-encoded `origin`, spelled like binaryFile's `path`."""
-    decoded = F.url_decode(F.replace(_column(origin), F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(as_column(origin), F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^file:///", "file:/")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fovea.functions.paths import ColumnOrName, _column
+from fovea.functions.paths import ColumnOrName, as_column
 
 # fixed values: mean blue, green and red of the ImageNet training images
 IMAGENET_MEANS_BGR = (103.939, 116.779, 123.68)
@@ -33,7 +33,7 @@ def bgr_minus_mean(pixels: ColumnOrName) -> Column:
 
         return F.transform(source, value)
 
-    return _bind(_column(pixels), prepare)
+    return _bind(as_column(pixels), prepare)
 
 
 def global_pool(tensor: ColumnOrName, channels: int, how: str) -> Column:
@@ -63,12 +63,12 @@ def global_pool(tensor: ColumnOrName, channels: int, how: str) -> Column:
             ),
         )
 
-    return _bind(_column(tensor).cast("array<double>"), pool)
+    return _bind(as_column(tensor).cast("array<double>"), pool)
 
 
 def flatten_tensor(nested: ColumnOrName, levels: int = 1) -> Column:
     """Nested arrays to one flat array, `levels` levels down."""
-    flat = _column(nested)
+    flat = as_column(nested)
     for _ in range(levels):
         flat = F.flatten(flat)
     return flat
@@ -76,7 +76,7 @@ def flatten_tensor(nested: ColumnOrName, levels: int = 1) -> Column:
 
 def feature_reject_reason(features: ColumnOrName, width: int) -> Column:
     """Why a feature array cannot enter a fit, or NULL if it can."""
-    values = _column(features)
+    values = as_column(features)
     bad = F.exists(
         values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
     )
@@ -89,7 +89,7 @@ def feature_reject_reason(features: ColumnOrName, width: int) -> Column:
 
 def image_reject_reason(image: ColumnOrName, shape: tuple[int, int, int]) -> Column:
     """Why a decoded image does not fit the model input (height, width, channels), or NULL."""
-    image = _column(image)
+    image = as_column(image)
     height, width, channels = shape
     return (
         F.when(image.isNull() | (image["height"] < 0), F.lit("not an image"))

@@ -101,14 +101,19 @@ def not_pretrained_conv(
     def load() -> Model:
         kernel = np.random.default_rng(seed).normal(0, 0.1, (27, channels)).astype(np.float32)
 
-        def predict(batch: np.ndarray) -> np.ndarray:
-            windows = np.lib.stride_tricks.sliding_window_view(batch, (3, 3), axis=(1, 2))
+        def convolve(images: np.ndarray) -> np.ndarray:
+            windows = np.lib.stride_tricks.sliding_window_view(images, (3, 3), axis=(1, 2))
             windows = windows[:, ::stride, ::stride].transpose(0, 1, 2, 4, 5, 3)
             rows, height, width = windows.shape[:3]
             maps = windows.reshape(rows * height * width, 27).astype(np.float32) @ kernel
             maps = np.maximum(maps, 0).reshape(rows, height, width, channels)
             return pool_batch(maps, pooling)
 
+        def predict(batch: np.ndarray) -> np.ndarray:
+            # a few images at a time: the maps of a whole batch would take gigabytes
+            parts = [convolve(batch[at : at + 32]) for at in range(0, len(batch), 32)]
+            return np.concatenate(parts)
+
         return predict
 
     return load

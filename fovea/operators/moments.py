@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Beyond this width the driver's share (width x width numbers) is no longer small.
-MAX_MOMENT_WIDTH = 4096
+MAX_MOMENT_WIDTH = 2048
 # Tasks that may send a partial result to the final sum; merging scan tasks moves no data.
 MAX_PARTIALS = 10_000
 # Values multiplied at a time, 32 MB as doubles.

@@ -19,7 +19,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fovea.operators.moments import MAX_MOMENT_WIDTH, feature_moments, stand_in
+from fovea.operators.moments import MAX_MOMENT_WIDTH, Moments, feature_moments, stand_in
 
 # the widest covariance MLlib computes
 MAX_WIDTH = 65_535
@@ -101,9 +101,12 @@ def _curve(covariance: np.ndarray, spark: SparkSession) -> DataFrame:
     return _scree_table(variances / total, spark)
 
 
-def scree_pair(df: DataFrame, column: str = "vectors") -> tuple[DataFrame, DataFrame]:
-    """The curves of the raw and of the standardized vectors, from one pass over the data."""
-    moments = feature_moments(df, column)
+def scree_pair(
+    df: DataFrame, column: str = "vectors", moments: Moments | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The curves of the raw and of the standardized vectors, from one pass over the data, or none
+    where the moments are known."""
+    moments = moments or feature_moments(df, column)
     raw, standardized = moments.covariance, moments.standardized_covariance()
     return _curve(raw, df.sparkSession), _curve(standardized, df.sparkSession)
 
@@ -203,19 +206,21 @@ def fit_reduction(
     threshold: float = 0.99,
     if_never: str = "raise",
     features_col: str | None = None,
+    moments: Moments | None = None,
 ) -> Reduction:
     """Scale (optional), choose k from the explained variance, project on k components.
 
     Reads `df` once, for its moments (from `features_col` where the vectors also exist as arrays);
-    scaler and PCA are fitted on the table that stands in for them. Vectors too wide for that take
-    a scaler pass and one full PCA, cut to k. Either way, give it a staged table.
+    scaler and PCA are fitted on the table that stands in for them. With `moments` given, as when a
+    raw and a standardized reduction are fitted side by side, it is not read at all. Vectors too
+    wide for that take a scaler pass and one full PCA, cut to k. Give it a staged table.
     """
     spark, stages, source = df.sparkSession, [], input_col
-    wide = vector_width(df, input_col) > MAX_MOMENT_WIDTH
+    wide = moments is None and vector_width(df, input_col) > MAX_MOMENT_WIDTH
     if wide:
         data = df
     else:
-        moments = feature_moments(df, features_col or input_col)
+        moments = moments or feature_moments(df, features_col or input_col)
         data = stand_in(moments, spark, input_col)
     if standardize or with_mean:
         source = f"{input_col}_std"

@@ -102,6 +102,26 @@ def test_fit_on_the_stand_in_is_the_fit_on_the_data(spark, monkeypatch, standard
     assert np.allclose(matrix(short.model.transform(df), "r"), matrix(direct.model.transform(df), "r"))
 
 
+def test_known_moments_need_no_pass(spark, monkeypatch):
+    values = np.random.default_rng(13).normal(size=(200, 6)) @ np.diag(np.linspace(1, 9, 6))
+    df = frame(spark, values)
+    known = m.feature_moments(df, "features")
+    separate = [reduce.fit_reduction(df, output_col="r", standardize=s, threshold=0.8) for s in (False, True)]
+
+    def refuse(*_):
+        raise AssertionError("a pass over the data")
+
+    monkeypatch.setattr(reduce, "feature_moments", refuse)
+    monkeypatch.setattr(reduce, "vector_width", lambda df, c: 6 if "std" in c else refuse())
+    raw, std = reduce.scree_pair(df, moments=known)
+    for apart, standardize, curve in zip(separate, (False, True), (raw, std)):
+        shared = reduce.fit_reduction(
+            df, output_col="r", standardize=standardize, threshold=0.8, moments=known
+        )
+        assert shared.k == apart.k == reduce.select_k(curve, 0.8)
+        assert np.allclose(matrix(shared.model.transform(df), "r"), matrix(apart.model.transform(df), "r"))
+
+
 def test_one_pass_over_the_features_only(spark, sf_dir):
     embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     seen = []

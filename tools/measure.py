@@ -22,8 +22,10 @@ from fovea.operators.backends import linear_model, not_pretrained_conv  # noqa:
 from fovea.operators.featurize import featurize  # noqa: E402
 from fovea.operators.images import decode_bitmap, file_stack, tensor_stack  # noqa: E402
 from fovea.operators.moments import feature_moments  # noqa: E402
+from fovea.plans.feature_table import build_feature_table  # noqa: E402
 from fovea.plans.staging import bitmap_header  # noqa: E402
-from fovea.session import build_session, stage  # noqa: E402
+from fovea.session import build_session, shared_dir, stage  # noqa: E402
+from fovea.sources.sinks import write_table  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -134,6 +136,28 @@ def fits(spark) -> None:
             print(f"| {width} | {rows} | " + " | ".join(f"{t:.2f}" for t in took) + " |", flush=True)
 
 
+def whole_way(spark) -> None:
+    rows = 4000
+    files = random_bitmaps(spark, rows).select(
+        F.concat(F.lit("/pictures/c"), F.col("id") % 7, F.lit("/"), F.col("id")).alias("path"),
+        "content",
+    )
+    stack = file_stack(decode_bitmap, (100, 100, 3))
+    components = []
+
+    def run():
+        table, _, fitted = build_feature_table(files, not_pretrained_conv(512), stack, width=512)
+        write_table(table, shared_dir(spark, "measure"))
+        components.append(fitted.k)
+
+    took = seconds(run)
+    features = featurize(files, not_pretrained_conv(512), stack, "content", ["path"])
+    model = seconds(lambda: consume(features))
+    print("\n| 100x100 bitmaps to written table | features | components | seconds | of it the model |")
+    print("|---|---|---|---|---|")
+    print(f"| {rows} | 512 | {components[-1]} | {took:.2f} | {model:.2f} |", flush=True)
+
+
 def main() -> None:
     spark = build_session(
         "fovea-measure", master=f"local[{CPUS}]", spark__sql__shuffle__partitions=CPUS,
@@ -142,6 +166,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     featurizer(spark)
     fits(spark)
+    whole_way(spark)
 
 
 if __name__ == "__main__":
