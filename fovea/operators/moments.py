@@ -108,7 +108,8 @@ def feature_moments(df: DataFrame, column: str, max_partials: int = MAX_PARTIALS
 def stand_in(moments: Moments, spark: SparkSession, output_col: str = "vectors") -> DataFrame:
     """2 x width vectors with the given mean and covariance.
 
-    They lie on both ends of the principal axes around the mean.
+    They lie on both ends of the principal axes around the mean. Few tasks take them: on a large
+    cluster every core would get a row of its own and send back a matrix.
     """
     variances, axes = np.linalg.eigh(moments.covariance)
     arms = (axes * np.sqrt(np.clip(variances, 0, None))).T
@@ -116,4 +117,5 @@ def stand_in(moments: Moments, spark: SparkSession, output_col: str = "vectors")
     arms *= np.sqrt((2 * len(arms) - 1) / 2)
     points = np.concatenate([moments.mean + arms, moments.mean - arms])
     table = pa.table({"x": pa.array(list(points), pa.list_(pa.float64()))})
-    return spark.createDataFrame(table).select(array_to_vector("x").alias(output_col))
+    points = spark.createDataFrame(table).coalesce(max(len(arms) // 256, 1))
+    return points.select(array_to_vector("x").alias(output_col))
