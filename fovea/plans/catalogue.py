@@ -81,9 +81,9 @@ def binary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    images = files.read_images(spark, staged_files(spark, sf_dir) + "/*", drop_invalid=True)
+    images = files.read_image_tree(spark, staged_files(spark, sf_dir), drop_invalid=True)
     return images.select(
-        paths.class_from_path(paths.plain_path("image.origin")).alias("class"),
+        paths.class_from_path("path").alias("class"),
         F.col("image.height").alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("n_channels"),
@@ -271,9 +271,9 @@ def featurize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def featurize_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images decoded by the JVM reader, keyed by their pixels: the file's bytes are gone."""
-    images = files.read_images(spark, staged_files(spark, sf_dir) + "/*")
+    images = files.read_image_tree(spark, staged_files(spark, sf_dir))
     scan = images.select(
-        paths.class_from_path(paths.plain_path("image.origin")).alias("class"),
+        paths.class_from_path("path").alias("class"),
         F.md5(F.hex("image.data")).alias("image_key"),
         "image",
     )
@@ -290,10 +290,10 @@ def featurize_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shape_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted images and rejects with reasons, per class."""
-    images = files.read_images(spark, staged_files(spark, sf_dir) + "/*")
+    images = files.read_image_tree(spark, staged_files(spark, sf_dir))
     reason = F.coalesce(tensors.image_reject_reason("image", SHAPE), F.lit("accepted"))
     checked = images.select(
-        paths.class_from_path(paths.plain_path("image.origin")).alias("class"),
+        paths.class_from_path("path").alias("class"),
         reason.alias("outcome"),
     )
     return checked.groupBy("class", "outcome").agg(F.count("*").alias("n"))

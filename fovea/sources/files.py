@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fovea.functions.paths import class_from_path, path_segments
+from fovea.functions.paths import class_from_path, path_segments, plain_path
 
 # Schema of Spark's binaryFile source; a stream over it has to name it.
 BINARY_SCHEMA = T.StructType(
@@ -44,12 +44,15 @@ def read_class_tree(spark: SparkSession, root: str, pattern: str | None = None)
     """
     root = root.rstrip("/")
     files = read_binary(spark, f"{root}/*", pattern)
-    files = files.select("path", "modificationTime", "length", "content")
+    return _below_a_class(files.select("path", "modificationTime", "length", "content"), root)
+
+
+def _below_a_class(files: DataFrame, root: str) -> DataFrame:
+    """Without the files lying directly in `root`, which `<root>/*` matches too."""
     name = root.rsplit("/", 1)[-1]
-    if name.strip(".") and not GLOB_CHARACTERS & set(name):
-        # a file lying directly in root matches the glob too, but has no class
-        files = files.where(F.try_element_at(path_segments("path"), F.lit(-3)) == name)
-    return files
+    if not name.strip(".") or GLOB_CHARACTERS & set(name):
+        return files
+    return files.where(F.try_element_at(path_segments("path"), F.lit(-3)) == name)
 
 
 def read_images(
@@ -62,6 +65,13 @@ def read_images(
     return spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).load(path)
 
 
+def read_image_tree(spark: SparkSession, root: str, drop_invalid: bool = False) -> DataFrame:
+    """(path, image) of `<root>/<class>/<file>`, paths spelled as in `read_class_tree`."""
+    root = root.rstrip("/")
+    images = read_images(spark, f"{root}/*", drop_invalid)
+    return _below_a_class(images.select(plain_path("image.origin").alias("path"), "image"), root)
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,

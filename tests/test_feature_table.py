@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import picture
-from fovea.functions.paths import class_from_path, plain_path
+from fovea.functions.paths import class_from_path
 from fovea.operators.backends import not_pretrained_conv
 from fovea.operators.featurize import featurize
 from fovea.operators.images import bgr_minus_mean_batch, decode_bitmap, file_stack, image_stack
@@ -103,9 +103,7 @@ def test_feature_width_is_checked(spark, bitmaps):
 
 def test_decoded_images_give_the_same_table(spark, bitmaps):
     table, _, fitted = build(spark, bitmaps)
-    images = files.read_images(spark, bitmaps + "/*").select(
-        plain_path("image.origin").alias("path"), "image"
-    )
+    images = files.read_image_tree(spark, bitmaps)
     other, rejects, again = build_feature_table(
         images,
         not_pretrained_conv(8),

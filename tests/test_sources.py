@@ -60,10 +60,11 @@ def test_images_are_bgr_top_row_first(spark, image_root):
 
 
 def test_images_and_files_share_paths(spark, image_root):
-    images = files.read_images(spark, image_root + "/*", drop_invalid=True)
-    origins = {r[0] for r in images.select(plain_path("image.origin")).collect()}
-    paths = {r["path"] for r in files.read_class_tree(spark, image_root).select("path").collect()}
-    assert len(origins) == 13 and origins <= paths
+    images = files.read_image_tree(spark, image_root).select("path")
+    raw = files.read_class_tree(spark, image_root).select("path")
+    assert images.count() == 15 and images.exceptAll(raw).count() == 0
+    valid = files.read_image_tree(spark, image_root, drop_invalid=True)
+    assert valid.count() == 13 and valid.columns == ["path", "image"]
 
 
 def test_invalid_images_are_marked(spark, image_root):
