@@ -25,7 +25,9 @@ from fovea.operators.moments import MAX_MOMENT_WIDTH, Moments, feature_moments,
 MAX_WIDTH = 65_535
 
 
-def with_vectors(df: DataFrame, features_col: str = "features", output_col: str = "vectors") -> DataFrame:
+def with_vectors(
+    df: DataFrame, features_col: str = "features", output_col: str = "vectors"
+) -> DataFrame:
     """Add the feature array as an ML vector, converted in the JVM. NULL arrays are left out."""
     rows = df.where(F.col(features_col).isNotNull())
     return rows.withColumn(output_col, array_to_vector(features_col))

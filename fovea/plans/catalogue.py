@@ -16,8 +16,7 @@ from fovea.functions import paths, tensors
 from fovea.operators import inspect, reduce
 from fovea.operators.backends import linear_model, pooling_model
 from fovea.operators.featurize import featurize, pooling_report, split_rejects
-from fovea.operators.images import bgr_minus_mean_batch, decode_bitmap
-from fovea.operators.images import file_stack, image_stack, tensor_stack
+from fovea.operators.images import decode_bitmap, file_stack, image_stack, tensor_stack
 from fovea.plans.feature_table import build_feature_table, reduce_features
 from fovea.plans.staging import SHAPE, staged_files
 from fovea.session import shared_dir
@@ -37,7 +36,9 @@ def rounded(value: Column | str, digits: int = 4) -> Column:
     return F.round(column.cast("double"), digits) + F.lit(0.0)
 
 
-def long_form(df: DataFrame, keys: list[str], array: Column, index: str, start: int = 0) -> DataFrame:
+def long_form(
+    df: DataFrame, keys: list[str], array: Column, index: str, start: int = 0
+) -> DataFrame:
     """(keys..., index, value): one row per array element.
 
     From a plain explode Spark derives a filter on the array's size, which would compute the array
@@ -384,15 +385,14 @@ def select_k_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scree_compare_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = reduce.compare_scree(*reduce.scree_pair(price_pairs(spark, sf_dir), "features"))
-    return joined.select(
-        "component", *[rounded(c, 6).alias(c) for c in ("raw_cumulative", "std_cumulative", "delta")]
-    )
+    columns = ("raw_cumulative", "std_cumulative", "delta")
+    return joined.select("component", *[rounded(c, 6).alias(c) for c in columns])
 
 
 def scree_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, standardized = reduce.scree_pair(price_pairs(spark, sf_dir), "features")
-    zoomed = reduce.scree_zoom(standardized)
-    return zoomed.select("component", rounded("cumulative", 6).alias("cumulative"), "above_threshold")
+    total = rounded("cumulative", 6).alias("cumulative")
+    return reduce.scree_zoom(standardized).select("component", total, "above_threshold")
 
 
 def _long_projection(projected: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@
 variances a, c and covariance b the eigenvalues are (a+c)/2 +- sqrt(((a-c)/2)^2 + b^2), and for
 standardized features 1 +- |correlation| with loadings (1, +-1)/sqrt(2).
 
-In `feature_table_ends`, 99 % of the variance of 64 standardized features is 0.64 short of all of it:
+In `feature_table_ends`, 99 % of the variance of 64 standardized features is 0.64 short of all:
 all 64 components are needed if the smallest eigenvalue is above that, and 63 if twice it is.
 """
 

@@ -93,7 +93,9 @@ def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataF
     )
 
 
-def dataset_inventory(files: DataFrame, path_col: str = "path", size_col: str = "length") -> DataFrame:
+def dataset_inventory(
+    files: DataFrame, path_col: str = "path", size_col: str = "length"
+) -> DataFrame:
     """Files and bytes per class. On a binaryFile scan only listing metadata is read."""
     return (
         files.select(class_from_path(path_col).alias("class"), F.col(size_col).alias("size"))
