@@ -189,7 +189,8 @@ def format_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preprocess_bgr_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each embedding value as a pixel of red v, green 2v and blue 3v."""
-    pixels = F.flatten(F.transform("embedding", lambda v: F.array(v * 1, v * 2, v * 3)))
+    values = F.col("embedding").cast("array<double>")
+    pixels = F.flatten(F.transform(values, lambda v: F.array(v * 1, v * 2, v * 3)))
     prepared = table(spark, sf_dir, "embeddings").select(
         "vec_id", tensors.bgr_minus_mean(pixels).alias("tensor")
     )
