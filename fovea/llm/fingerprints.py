@@ -4,8 +4,8 @@ The lexicon holds the terms whose inverse document frequency over all documents
 fingerprint takes a text's distinct terms of the lexicon in sorted order and hashes, for each of
 several random subsets of the lexicon, those in the subset. Subsets come in scales: one of scale s
 holds each term with probability 2^-s. A text with about 2^s terms is hashed with the subsets of scales
-s and s+1, which take one or two of its terms each; so whatever the length, a small change leaves part
-of the hashes as they are. Likeness is the share of equal hashes at the scales both texts have.
+s+1 to s+3, which take about one of its terms each, or none; so whatever the length, a small change
+leaves many of the hashes as they are. Likeness is the share of equal hashes at the scales both texts have.
 
 The lexicon has at most e^max_idf times as many terms as a document has distinct terms on average,
 however many documents there are; so it is collected and shipped to tasks.
@@ -33,10 +33,11 @@ from fovea.llm.common import prepare, whole_text
 
 MIN_IDF, MAX_IDF = 1.5, 7.0
 SUBSETS = 32
+SCALES = 3
 HELD_TERMS = 200_000
 #: ASCII punctuation separates terms.
 SPACED = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
-MASK = np.uint64(0xFFFFFFFF)
+MASK = np.uint64(0xFFFF)
 
 
 def terms(text: str) -> list[bytes]:
@@ -98,17 +99,27 @@ class Loaded:
         self.hash = np.array([term_hash(x) for x in lexicon.terms], np.uint64)
         self.subsets = lexicon.subsets
         self.seeds = mix(np.arange(1, lexicon.subsets + 1, dtype=np.uint64))
-
-    def _hashes(self, places: np.ndarray, scale: int) -> str:
-        """Hashes of the terms in each subset of one scale, 0 for those that hold none."""
-        own = self.hash[places][:, None]
-        drawn = mix(own ^ mix(self.seeds + np.uint64(scale << 32)))
+        # a term is in subset k of all scales up to its level there
+        drawn = mix(self.hash[:, None] ^ self.seeds) >> np.uint64(11)
+        self.level = 53 - np.frexp(drawn.astype(np.float64))[1].astype(np.int8)
+
+    def _hashes(self, places: np.ndarray, scale: int) -> list[str]:
+        """Hashes of the terms in each subset, 0 for those that hold none, for the scales after this."""
+        level = self.level[places]
+        term, subset = np.nonzero(level > scale)
+        level = level[term, subset]
         with np.errstate(over="ignore"):
-            # terms are distinct and sorted, so equal sets give equal sums of their mixed hashes
-            inside = (drawn >> np.uint64(64 - scale)) == 0 if scale else np.ones_like(drawn, bool)
-            total = np.where(inside, mix(drawn + own), np.uint64(0)).sum(0, dtype=np.uint64)
-        short = np.where(inside.any(0), np.maximum(mix(total) & MASK, 1), 0)
-        return short.astype(">u4").tobytes().hex()
+            value = mix(self.hash[places[term]] + self.seeds[subset])
+        out = []
+        for s in range(scale + 1, scale + 1 + SCALES):
+            held = level >= s
+            total = np.zeros(self.subsets, np.uint64)
+            # terms are distinct, so equal sets give equal sums of their mixed hashes
+            np.add.at(total, subset[held], value[held])
+            some = np.bincount(subset[held], minlength=self.subsets) > 0
+            short = np.where(some, np.maximum(mix(total) & MASK, 1), 0)
+            out.append(f"{s}:{short.astype('>u2').tobytes().hex()}")
+        return out
 
     def fingerprint(self, text: str) -> str:
         distinct = set(terms(text))
@@ -118,7 +129,7 @@ class Loaded:
         if not len(places):
             return "rare:" + hashlib.sha256(b"\n".join(sorted(distinct))).hexdigest()[:32]
         scale = int(math.log2(len(places)))
-        return ";".join(f"{s}:{self._hashes(places, s)}" for s in (scale, scale + 1))
+        return ";".join(self._hashes(places, scale))
 
 
 def likeness(a: str, b: str) -> float:
@@ -130,7 +141,7 @@ def likeness(a: str, b: str) -> float:
     x, y = (dict(part.split(":") for part in z.split(";")) for z in (a, b))
     same = used = 0
     for scale in x.keys() & y.keys():
-        p, q = (np.frombuffer(bytes.fromhex(z[scale]), ">u4") for z in (x, y))
+        p, q = (np.frombuffer(bytes.fromhex(z[scale]), ">u2") for z in (x, y))
         used += int(((p > 0) | (q > 0)).sum())
         same += int(((p == q) & (p > 0)).sum())
     return same / used if used else 0.0
