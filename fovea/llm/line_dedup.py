@@ -17,7 +17,8 @@ gathered by rank, so a line that is everywhere is no hot spot. Main path: DataFr
 
 Defined cases: null texts stay null and empty ones empty; lines end at line feeds; blank lines have
 no words but belong to runs; a null id comes before all others; rows equal in id and text are one
-document and all get the same result; other columns are kept by `dedup_lines`.
+document and all get the same result; `dedup_lines` keeps other columns, but replaces those that have the
+names of its own.
 """
 
 from __future__ import annotations
@@ -154,7 +155,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A text without deleted lines stays as it is; one all of whose lines go becomes empty.
     """
     runs = merged(later_copies(docs, min_words))
-    rows = with_keys(docs).join(runs, DOC, "left")
+    keyed = with_keys(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")))
+    rows = keyed.join(runs, DOC, "left")
     lines = lines_of()
     stops = F.concat(F.transform("runs", lambda r: r["first"]), F.array(F.size(lines)))
     starts = F.concat(F.array(F.lit(0)), F.transform("runs", lambda r: r["last"] + 1))
@@ -164,9 +166,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     left = F.array_join(F.flatten(kept), "\n")
     deleted = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    own = {"runs", "n_lines", "n_deleted"}
     return rows.select(
         *[F.when(F.col("runs").isNull(), F.col("text")).otherwise(left).alias("text")
-          if name == "text" else F.col(name) for name in docs.columns],
+          if name == "text" else F.col("_row")[name].alias(name)
+          for name in docs.columns if name not in own],
         F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("runs"),
         F.coalesce(F.size(F.when(F.col("text").isNotNull(), lines)), F.lit(0)).alias("n_lines"),
         F.coalesce(deleted, F.lit(0)).alias("n_deleted"),

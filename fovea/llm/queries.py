@@ -22,7 +22,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_lines", "n_deleted", "runs", "text")
+    deleted = F.transform("runs", lambda r: F.concat_ws("-", r["first"], r["last"]))
+    return rows.select(
+        "doc_id", "n_lines", "n_deleted", F.array_join(deleted, ",").alias("deleted"), "text"
+    )
 
 
 def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +96,198 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+
+def line_dedup_sql(min_words: int = line_dedup.MIN_WORDS) -> str:
+    """Every run of lines is compared as a list; deleted lines are collected per document."""
+    return f"""
+    WITH docs AS (
+      SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents
+    ),
+    counted AS (
+      SELECT doc_id, lines,
+             list_transform(lines, lambda x: len(regexp_extract_all(x, '\\S+'))) AS words
+      FROM docs
+    ),
+    spots AS (
+      SELECT doc_id, lines, words, unnest(range(1, len(lines) + 1)) AS p FROM counted
+    ),
+    ends AS (
+      SELECT doc_id, lines, p,
+             list_filter(range(p, len(lines) + 1), lambda e: list_sum(words[p:e]) >= {min_words})[1] AS e,
+             list_filter(range(p, 0, -1), lambda s: list_sum(words[s:p]) >= {min_words})[1] AS s
+      FROM spots
+    ),
+    runs AS (
+      SELECT doc_id, p AS first, e AS last, lines[p:e] AS content FROM ends WHERE e IS NOT NULL
+      UNION
+      SELECT doc_id, s, p, lines[s:p] FROM ends WHERE s IS NOT NULL
+    ),
+    leads AS (
+      SELECT *, min(doc_id * 1000000 + first) OVER (PARTITION BY content) AS lead FROM runs
+    ),
+    gone AS (
+      SELECT doc_id, unnest(range(first, last + 1)) AS p
+      FROM leads WHERE doc_id * 1000000 + first > lead
+    ),
+    marked AS (
+      SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS island
+      FROM (SELECT DISTINCT doc_id, p FROM gone)
+    ),
+    islands AS (
+      SELECT doc_id, min(p) - 1 AS a, max(p) - 1 AS b, count(*) AS n
+      FROM marked GROUP BY doc_id, island
+    ),
+    texts AS (
+      SELECT doc_id, sum(n)::INTEGER AS n_deleted,
+             string_agg(a || '-' || b, ',' ORDER BY a) AS deleted
+      FROM islands GROUP BY doc_id
+    ),
+    kept AS (
+      SELECT s.doc_id, string_agg(s.lines[s.p], chr(10) ORDER BY s.p) AS text
+      FROM spots s WHERE (s.doc_id, s.p) NOT IN (SELECT (doc_id, p) FROM gone) GROUP BY s.doc_id
+    )
+    SELECT d.doc_id, len(d.lines)::INTEGER AS n_lines, coalesce(t.n_deleted, 0)::INTEGER AS n_deleted,
+           coalesce(t.deleted, '') AS deleted, coalesce(k.text, '') AS text
+    FROM docs d LEFT JOIN texts t USING (doc_id) LEFT JOIN kept k USING (doc_id)
+    """
+
+
+def near_dup_sql(words: int = near_dup.WORDS, percent: int = near_dup.PERCENT) -> str:
+    """All pairs that share a shingle are counted; components by walking the links."""
+    grams = "[" + ", ".join(f"w[i + {k}]" for k in range(words)) + "]"
+    return f"""
+    WITH RECURSIVE texts AS (
+      SELECT doc_id, list_filter(
+        regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[ \\t\\n\\r\\x0B\\f]+'), lambda x: x <> '') AS w
+      FROM documents
+    ),
+    sets AS (
+      SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [hash(w)]
+        ELSE list_distinct(list_transform(range(1, len(w) - {words - 2}), lambda i: hash({grams}))) END AS s
+      FROM texts
+    ),
+    spread AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+    links AS (
+      SELECT a.doc_id AS x, b.doc_id AS y
+      FROM spread a JOIN spread b ON a.g = b.g AND a.doc_id <> b.doc_id
+        AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n
+      HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))
+    ),
+    reach AS (
+      SELECT doc_id, doc_id AS root FROM documents
+      UNION
+      SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.doc_id
+    ),
+    roots AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+    SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM sets JOIN roots USING (doc_id)
+    """
+
+
+def topk_sql(top: int = topk.TOP, scale: int = topk.SCALE) -> str:
+    return f"""
+    WITH vectors AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scores AS (
+      SELECT q.vec_id AS query_id, x.vec_id,
+             list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * x.v[i]))::BIGINT AS score
+      FROM vectors q JOIN vectors x ON q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id, score
+    FROM scores
+    QUALIFY rank <= {top}
+    """
+
+
+def url_trust_sql(
+    rules=url_trust.RULES,
+    damping: float = url_trust.DAMPING,
+    iterations: int = url_trust.ITERATIONS,
+    threshold: float = url_trust.THRESHOLD,
+) -> str:
+    """The rules as a table; one common table expression for each turn of the walks."""
+    values = ", ".join(f"('{what}', '{host}', '{path}')" for what, host, path in rules)
+    turns = ", ".join(
+        f"""r{k} AS (
+      SELECT walk, host, sum(rank) AS rank FROM (
+        SELECT r.walk, s.target AS host, r.rank * s.part AS rank
+        FROM r{k - 1} r JOIN steps s ON s.walk = r.walk AND s.host = r.host
+        UNION ALL SELECT walk, host, rank FROM r0
+      ) GROUP BY walk, host)"""
+        for k in range(1, iterations + 1)
+    )
+    return f"""
+    WITH cut AS (
+      SELECT page_id, html,
+             CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+      FROM pages
+    ),
+    parsed AS (
+      SELECT page_id, html,
+             translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM cut
+    ),
+    rules(ruled, rule_host, rule_path) AS (VALUES {values}),
+    fitting AS (
+      SELECT p.page_id, rule_host || rule_path AS rule, ruled
+      FROM parsed p JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+        AND starts_with(path, rule_path)
+      QUALIFY row_number() OVER (PARTITION BY p.page_id ORDER BY length(rule_host || rule_path) DESC) = 1
+    ),
+    judged AS (SELECT p.*, f.rule, f.ruled FROM parsed p LEFT JOIN fitting f USING (page_id)),
+    named AS (
+      SELECT page_id, host AS source, lower(unnest(list_distinct(
+        regexp_extract_all(html, '(?i)(?:href|src)\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\\s>]+)', 1)
+      ))) AS target FROM parsed
+    ),
+    above AS (
+      SELECT DISTINCT host AS source, regexp_replace(host, '^[^.]+\\.', '') AS target
+      FROM parsed WHERE regexp_matches(host, '^[^.]+\\.[^.]+\\..+$')
+    ),
+    links AS (
+      SELECT source, target, sum(n) AS n FROM (
+        SELECT source, target, 1 AS n FROM named
+        UNION ALL SELECT source, target, 1 FROM above
+        UNION ALL SELECT target, source, 1 FROM above
+      ) WHERE source <> target AND source <> '' GROUP BY source, target
+    ),
+    ways AS (
+      SELECT 0 AS walk, source AS host, target, n FROM links
+      UNION ALL SELECT 1, target, source, n FROM links
+    ),
+    steps AS (
+      SELECT walk, host, target, n / sum(n) OVER (PARTITION BY walk, host) * {damping}::DOUBLE AS part FROM ways
+    ),
+    seeds AS (
+      SELECT 0 AS walk, host, count(*) AS rank FROM judged WHERE ruled = 'allow' GROUP BY host
+      UNION ALL SELECT 1, host, count(*) FROM judged WHERE ruled = 'block' GROUP BY host
+    ),
+    r0 AS (
+      SELECT walk, host, rank / sum(rank) OVER (PARTITION BY walk) * (1 - {damping}::DOUBLE) AS rank FROM seeds
+    ),
+    {turns},
+    hosts AS (
+      SELECT host, sum(CASE WHEN walk = 0 THEN rank ELSE 0 END) AS trust,
+             sum(CASE WHEN walk = 1 THEN rank ELSE 0 END) AS distrust
+      FROM r{iterations} GROUP BY host
+    )
+    SELECT page_id, j.host, path, rule, coalesce(ruled, CASE
+      WHEN coalesce(distrust, 0) > {threshold} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged j LEFT JOIN hosts h ON h.host = j.host
+    """
+
+
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup_sql(),
+    "op5_url_trust": url_trust_sql(),
+    "op6_near_dup": near_dup_sql(),
+    "op7_topk": topk_sql(),
+}
