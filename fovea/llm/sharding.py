@@ -43,7 +43,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         "doc_id",
         (octets + F.lit(OVERHEAD)).cast("bigint").alias("size"),
         F.coalesce(F.crc32(raw), F.lit(0)).cast("bigint").alias("checksum"),
-        F.coalesce(F.floor((octets - letters) * 1000 / octets), F.lit(0)).cast("bigint").alias("wide"),
+        F.floor((octets - letters) * 1000 / F.greatest(octets, F.lit(1))).cast("bigint").alias("wide"),
         F.xxhash64("text").bitwiseAND(F.lit(LAST)).alias("text_hash"),
         F.xxhash64("doc_id").bitwiseAND(F.lit(LAST)).alias("id_hash"),
     )

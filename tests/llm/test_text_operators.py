@@ -1,0 +1,309 @@
+"""Operators on single texts: quality, I-Match, secrets, packing and BPE."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from odd_rows import documents, no_documents, odd_documents, texts  # noqa: F401
+
+from fovea.llm import bpe, fingerprints, packing, quality, queries, secret_scan
+from fovea.llm.common import row_slices, running_offsets, tokenizer_path
+
+WORD, BYTE = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
+
+
+# --- shared helpers
+
+
+def test_row_slices_cover_all_rows():
+    sizes = [5, 1, 1, 9, 0, 0, 3]
+    assert list(row_slices(sizes, 6)) == [(0, 2), (2, 4), (4, 7)]
+    assert list(row_slices([], 6)) == []
+
+
+def test_running_offsets(spark):
+    totals = [(k, k % 7 + 1) for k in range(0, 300, 3)]
+    found = running_offsets(spark.createDataFrame(totals, "k bigint, n bigint"), "k", "n", fan_in=8)
+    expected, total = {}, 0
+    for k, n in totals:
+        expected[k] = total
+        total += n
+    assert {r["k"]: r["offset"] for r in found.collect()} == expected
+
+
+# --- quality
+
+
+def test_tables_learn_main_effects_and_pairs():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)  # a pure interaction
+    model = quality.fit(x[:3000], y[:3000])
+    right = (model.scores(x[3000:]) > 0.5) == (y[3000:] == 1)
+    assert (0, 1) in model.pairs and right.mean() > 0.9
+
+
+def test_quality_query_ranks_held_out_documents(spark, sf_dir, texts):
+    rows = queries.op1_quality(spark, "/root/testdata/sf0.01").collect()
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    label = {r["doc_id"]: r["quality"] for r in labels}
+    held = {r["doc_id"]: r for r in rows if r["held_out"]}
+    assert all((zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) == r["held_out"] for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    good = [r["score"] for i, r in held.items() if label.get(i) == 1]
+    poor = [r["score"] for i, r in held.items() if label.get(i) == 0]
+    wins = np.mean([[a > b for b in poor] for a in good])
+    assert wins > 0.97 and np.mean(np.array(good) >= 0.3) > 0.97
+
+
+def test_quality_of_odd_documents(spark, odd_documents, no_documents):
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 0), (3, 0), (6, None), (7, 5), (None, 1), (8, 1), (8, 0)], "doc_id bigint, quality int"
+    )
+    model = quality.learn(odd_documents, labels)
+    rows = quality.score(odd_documents, model).collect()
+    assert len(rows) == 15 and all(0 <= r["score"] <= 1 for r in rows)
+    nothing = quality.learn(odd_documents, labels.limit(0))
+    assert {r["score"] for r in quality.score(odd_documents, nothing).collect()} == {0.5}
+    assert quality.score(no_documents, model).count() == 0
+
+
+# --- fingerprints
+
+
+def reference_df(texts):
+    counts = Counter()
+    for text in texts:
+        counts.update(set(fingerprints.terms(text)))
+    return counts
+
+
+def test_lexicon_holds_the_band(documents, texts):
+    lexicon = fingerprints.build_lexicon(documents)
+    low, high = (len(texts) * math.exp(-x) for x in (fingerprints.MAX_IDF, fingerprints.MIN_IDF))
+    expected = {t for t, n in reference_df(texts.values()).items() if low <= n <= high}
+    assert lexicon.terms == sorted(expected)
+
+
+def test_fingerprints_depend_on_the_set_of_terms_only():
+    lexicon = fingerprints.Lexicon(sorted(f"term{i}".encode() for i in range(500))).load()
+    text = " ".join(f"term{i}" for i in range(100))
+    other = " ".join(f"Term{i}," for i in reversed(range(100))) + " unknown"
+    assert lexicon.fingerprint(text) == lexicon.fingerprint(other)
+    near = lexicon.fingerprint(" ".join(f"term{i}" for i in range(5, 103)))
+    far = lexicon.fingerprint(" ".join(f"term{i}" for i in range(300, 400)))
+    own = lexicon.fingerprint(text)
+    assert fingerprints.likeness(own, near) > 0.6 > 0.1 > fingerprints.likeness(own, far)
+    assert fingerprints.likeness(own, own) == 1.0
+    assert lexicon.fingerprint(" \n") == "empty" and lexicon.fingerprint("rare words").startswith("rare:")
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 400])
+def test_edited_texts(spark, documents, texts, buckets):
+    lexicon = fingerprints.build_lexicon(documents)
+    rows = fingerprints.compare_edited(documents, lexicon, buckets).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    loaded = lexicon.load()
+    order = sorted(texts, reverse=True)
+    following = dict(zip(order, [*order[1:], order[0]]))
+    for r in rows:
+        text, after = texts[r["doc_id"]], texts[following[r["doc_id"]]]
+        third = len(text) // 3
+        edited = text[: len(text) - third] + after[:third]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["fingerprint"] == loaded.fingerprint(text)
+        assert r["edited_fingerprint"] == loaded.fingerprint(edited)
+        assert r["near_edited"] == fingerprints.likeness(r["fingerprint"], r["edited_fingerprint"])
+        assert r["near_next"] == fingerprints.likeness(r["fingerprint"], loaded.fingerprint(after))
+    assert np.mean([r["near_edited"] > r["near_next"] for r in rows]) > 0.85
+
+
+def test_fingerprints_of_odd_documents(spark, odd_documents, no_documents):
+    lexicon = fingerprints.build_lexicon(odd_documents)
+    rows = fingerprints.compare_edited(odd_documents, lexicon, 5).collect()
+    assert len(rows) == 15
+    assert len(fingerprints.fingerprints(odd_documents, lexicon).collect()) == 15
+    empty = fingerprints.build_lexicon(no_documents)
+    assert fingerprints.compare_edited(no_documents, empty, 5).count() == 0
+    single = odd_documents.limit(1)
+    only = fingerprints.compare_edited(single, fingerprints.build_lexicon(single), 5).collect()
+    assert len(only) == 1 and only[0]["near_next"] == 1.0
+
+
+# --- secrets
+
+
+def plain_spans(text):
+    """The base patterns, as the contract writes them."""
+    kinds = (
+        ("assign", re.compile(
+            r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"""
+            r"""[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 8),
+        ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
+        ("hex", re.compile(r"[0-9a-f]+"), 0, 32),
+    )
+    found = []
+    for order, (_, pattern, group, least) in enumerate(kinds):
+        found += [(m.start(), order, m.end()) for m in pattern.finditer(text) if len(m[group]) >= least]
+    return sorted(found)
+
+
+PIECES = ["password", "PassWd", "api_key", "apikey", "ſecret", "secret", "toKen", "toKen", "AKIA", " ", "=", ": ", '"',
+          "'", "0123456789abcdef" * 2, "ABCDEFGH1234", "é", "漢", "abcdefgh", "a.b", "token=", "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12))
+def test_base_spans(parts):
+    text = "".join(parts)
+    assert [x[:3] for x in secret_scan.base_spans(text)] == plain_spans(text)
+
+
+def test_secret_query(spark, sf_dir, texts):
+    rows = queries.op4_secrets(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = plain_spans(texts[r["doc_id"]])
+        joined = ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == x for _, k, _ in spans) for x in range(3)]
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_automata_tell_formats_apart():
+    rng = np.random.default_rng(2)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    keys = [f"sk-{draw('0123456789abcdef', 24)}" for _ in range(300)]
+    words = [draw("etaoinshrdlu", 18) + "2" for _ in range(300)] + [draw("0123456789", 16) for _ in range(300)]
+    formats = secret_scan.Formats({"key": secret_scan.infer(keys)}, secret_scan.infer(words))
+    assert len(formats.kinds["key"].seen) < 60  # states were merged
+    unseen = [f"sk-{draw('0123456789abcdef', 24)}" for _ in range(50)]
+    assert np.mean([formats.ratio(x) > secret_scan.LEAST_RATIO for x in unseen]) > 0.9
+    plain = [draw("etaoinshrdlu", 17) + "7" for _ in range(50)] + [draw("0123456789", 16) for _ in range(50)]
+    assert not any(formats.ratio(x) > secret_scan.LEAST_RATIO for x in plain)
+    assert secret_scan.Formats({}, formats.ordinary).ratio("sk-1234") == -math.inf
+
+
+def test_candidates_keep_off_base_spans():
+    text = "password=abcdef0123456789 abcdef0123456789-0"
+    base = secret_scan.base_spans(text)
+    assert [x[:2] for x in secret_scan.candidates(text, base)] == [(26, 44)]
+
+
+def test_redaction(spark, odd_documents, no_documents):
+    rows = secret_scan.redact(odd_documents)
+    assert rows.columns == odd_documents.columns
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    assert texts[7].startswith("[secret]\nwort0") and texts[3] is None and texts[4] == ""
+    assert rows.count() == 15 and secret_scan.redact(no_documents).count() == 0
+    assert secret_scan.scan(odd_documents).count() == 15
+
+
+# --- packing
+
+
+def check_packing(rows, texts, window):
+    """Every id in one piece, sequences without gaps, all of them full but the last."""
+    tokenizer = Tokenizer.from_file(WORD)
+    pieces, sequences = {}, {}
+    for r in rows:
+        pieces.setdefault(r["doc_id"], []).append(r)
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert set(pieces) == set(texts)
+    for doc_id, own in pieces.items():
+        ids = [*tokenizer.encode(texts[doc_id] or "", add_special_tokens=False).ids, 2]
+        own.sort(key=lambda r: r["start"])
+        assert [r["doc_tokens"] for r in own] == [len(ids)] * len(own)
+        found = [x for r in own for x in np.frombuffer(r["ids"], "<u4").tolist()]
+        assert found == ids and [r["start"] for r in own] == list(np.cumsum([0, *[r["length"] for r in own[:-1]]]))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for number, own in sequences.items():
+        own.sort()
+        assert [a for a, _ in own] == [0, *np.cumsum([n for _, n in own])[:-1]]
+        total = sum(n for _, n in own)
+        assert total == window or number == len(sequences) - 1 and total < window
+
+
+@pytest.mark.parametrize("window", [4096, 100])
+def test_packing(documents, texts, window):
+    rows = packing.pack(documents.repartition(5), WORD, window).collect()
+    check_packing(rows, texts, window)
+
+
+def test_packing_of_odd_documents(odd_documents, no_documents):
+    rows = packing.pack(odd_documents, WORD, 64).collect()
+    filled = Counter()
+    for r in rows:
+        filled[r["sequence_id"]] += r["length"]
+    assert set(list(filled.values())) <= {64, filled[max(filled)]} and sorted(filled) == list(range(len(filled)))
+    empty = [r for r in rows if r["doc_id"] in (3, 4, 5)]
+    assert [(r["length"], r["doc_tokens"]) for r in empty] == [(1, 1)] * 3
+    assert packing.pack(no_documents, WORD).count() == 0
+
+
+def test_packing_query_sums_the_ids(spark, sf_dir, documents):
+    found = {(r["doc_id"], r["start"]): r["ids_crc32"] for r in queries.op8_packing(spark, sf_dir).collect()}
+    for r in packing.pack(documents, WORD).collect():
+        assert found[r["doc_id"], r["start"]] == zlib.crc32(r["ids"])
+
+
+ODD = st.text(alphabet=st.sampled_from(list("aAbI'stlé́ \n\t.<|>123İΣß漢 \xa0\x1c")), max_size=60)
+
+
+@settings(max_examples=200, deadline=None)
+@given(ODD)
+def test_words_have_the_ids_of_the_text(text):
+    words = packing.word_ids(WORD)
+    expected = words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(words.encode([text.encode()])[0], words.type).tolist() == expected
+
+
+# --- BPE
+
+MODEL = bpe.bpe(BYTE)
+LIBRARY = Tokenizer.from_file(BYTE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(ODD, st.text(max_size=80), st.sampled_from(["<|endoftext|>a <|endoftext|>", "a" * 500])))
+def test_bpe_is_the_library(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    own = MODEL.encode([text])[0]
+    assert np.frombuffer(own, "<u4").tolist() == ids
+    assert MODEL.decode(own) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=64), min_size=1, max_size=20))
+def test_side_by_side_and_single_trees_agree(words):
+    found = MODEL.merge_many(words, 64)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [MODEL.merge_long(w) for w in words]
+
+
+def test_bpe_query(spark, sf_dir, texts):
+    for r in queries.op10_bpe(spark, sf_dir).collect():
+        ids = LIBRARY.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        text = LIBRARY.decode(ids, skip_special_tokens=False)
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_bpe_of_odd_documents(odd_documents, no_documents):
+    tokens = bpe.encode(odd_documents, BYTE)
+    texts = sorted((r["decoded"] for r in bpe.decode(tokens, BYTE).collect()))
+    own = odd_documents.select(F.coalesce("text", F.lit("")).alias("t")).collect()
+    assert texts == sorted(r["t"] for r in own)
+    assert bpe.encode(no_documents, BYTE).count() == 0
