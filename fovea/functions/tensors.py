@@ -39,13 +39,15 @@ def bgr_minus_mean(pixels: ColumnOrName) -> Column:
 def global_pool(tensor: ColumnOrName, channels: int, how: str) -> Column:
     """Largest (`max`) or mean (`avg`) value per channel over all positions; array<double>.
 
-    Touches every element once. For wide maps, `pooling_model` in `featurize` is faster still.
+    An array that is no whole number of positions is an error. Touches every element once. For wide maps, `pooling_model` in `featurize` is faster still.
     """
     if how not in ("max", "avg"):
         raise ValueError(f"pooling must be 'max' or 'avg', not {how!r}")
 
     def pool(values: Column) -> Column:
-        positions = (F.size(values) / channels).cast("int")
+        ragged = F.raise_error(F.lit(f"the length is no multiple of {channels} channels"))
+        whole = F.when(F.size(values) % channels == 0, F.size(values) / channels)
+        positions = F.coalesce(whole, ragged.cast("double")).cast("int")
 
         def channel_values(steps: Column, channel: Column) -> Column:
             return F.transform(steps, lambda p: F.get(values, p * channels + channel))

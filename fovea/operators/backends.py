@@ -32,10 +32,13 @@ def pooling_model(how: str) -> Callable[[], Model]:
 
 
 def linear_model(
-    spark: SparkSession, weights: np.ndarray, relu: bool = True
+    spark: SparkSession,
+    weights: np.ndarray,
+    relu: bool = True,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> Callable[[], Model]:
     """Flattened input times broadcast `weights` (inputs x outputs)."""
-    if weights.nbytes > MAX_BROADCAST_BYTES:
+    if weights.nbytes > max_broadcast_bytes:
         raise ValueError("weights too large to broadcast; use onnx_model")
     shared = spark.sparkContext.broadcast(weights)
 

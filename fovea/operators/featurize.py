@@ -9,31 +9,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fovea.functions.tensors import global_pool
 from fovea.operators.images import Stacker
-from fovea.operators.moments import MAX_PARTIALS
 from fovea.session import ship_package
 
 Model = Callable[[np.ndarray], np.ndarray]
 
+# Groups that the tasks of a report are merged in.
+MERGED = 64
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
+# Models that a worker keeps; the one unused for longest goes.
+KEPT_MODELS = 4
+
 _worker_models: dict[str, Model] = {}
 
 
 def _load_once(key: str, factory: Callable[[], Model]) -> Model:
     """The model of this Python worker; reused workers keep it from task to task."""
-    if key not in _worker_models:
-        _worker_models.clear()
-        _worker_models[key] = factory()
-    return _worker_models[key]
+    model = _worker_models.pop(key) if key in _worker_models else factory()
+    _worker_models[key] = model
+    while len(_worker_models) > KEPT_MODELS:
+        del _worker_models[next(iter(_worker_models))]
+    return model
 
 
 def set_batch_rows(spark: SparkSession, rows: int) -> None:
-    """Bound the rows per Arrow batch, for records large enough to exhaust a Python worker."""
+    """Bound the rows per Arrow batch of the whole session, for records large enough to exhaust a worker."""
     spark.conf.set(ARROW_ROWS, str(rows))
 
 
@@ -99,13 +104,10 @@ def featurize(
     batch; outputs of any rank are flattened to one vector a row. It sees every row once, whatever
     is filtered afterwards, so filter by path or class before. `partitions` spreads the input
     first. That shuffles the raw input, so leave it out where the scan already has enough tasks;
-    with a unique `partition_key` the spread needs no sort to be repeatable. If the session's Arrow
-    batches are larger than `batch_rows`, they are lowered to it.
+    with a unique `partition_key` the spread needs no sort to be repeatable. Arrow batches are cut to
+    `batch_rows`; how many rows the session sends at a time is `set_batch_rows`.
     """
-    spark = df.sparkSession
-    ship_package(spark)
-    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= batch_rows:
-        set_batch_rows(spark, batch_rows)
+    ship_package(df.sparkSession)
     rows = df.select(*keep, input_col) if input_col not in keep else df.select(*keep)
     if partitions:
         rows = rows.repartition(partitions, *([partition_key] if partition_key else []))
@@ -127,10 +129,12 @@ def pooling_report(df: DataFrame, tensor_col: str, channels: int) -> DataFrame:
     """Max against average pooling over the whole table: overall statistics, and the mean over
     dimensions of the spread between rows (a low one means the pooling smooths).
 
-    One pass computes both; what is left to group is one row per pooling and channel.
+    One pass computes both; tasks are merged in groups, then the groups' rows per channel.
     """
-    poolings, metrics = ("max", "avg"), ("mean", "std", "min", "max")
-    summary = df.coalesce(MAX_PARTIALS).select(
+    poolings, metrics = ("max", "avg"), ("mean", "variance", "min", "max")
+    # tasks next to each other are merged together, and only a few rows a channel are left after that
+    near = F.pmod(F.spark_partition_id(), F.lit(MERGED)).alias("near")
+    summary = df.groupBy(near).agg(
         *[
             Summarizer.metrics("count", *metrics)
             .summary(array_to_vector(global_pool(tensor_col, channels, how)))
@@ -144,22 +148,33 @@ def pooling_report(df: DataFrame, tensor_col: str, channels: int) -> DataFrame:
         count = F.col(f"{how}.count").alias("n")
         return F.transform(
             zipped,
-            lambda dim: F.struct(
-                F.lit(how).alias("pooling"), count, *[dim[m].alias(m) for m in metrics]
+            lambda dim, at: F.struct(
+                F.lit(how).alias("pooling"), at.alias("dim"), count,
+                *[dim[m].alias(m) for m in metrics],
             ),
         )
 
-    dims, n = F.count(F.lit(1)), F.max("n")
-    within = (n - 1) * F.sum(F.col("std") ** 2)
-    between = n * dims * F.var_pop("mean")
-    return (
-        summary.select(F.inline(F.concat(*[per_dimension(how) for how in poolings])))
-        .groupBy("pooling")
+    parts = summary.select(F.inline(F.concat(*[per_dimension(how) for how in poolings])))
+    dim = Window.partitionBy("pooling", "dim")
+    center = F.sum(F.col("n") * F.col("mean")).over(dim) / F.sum("n").over(dim)
+    apart = F.col("n") * (F.col("mean") - F.col("center")) ** 2
+    dims = (
+        parts.withColumn("center", center)
+        .groupBy("pooling", "dim")
         .agg(
-            F.avg("mean").alias("mean"),
-            F.sqrt((within + between) / (n * dims - 1)).alias("stddev"),
+            F.sum("n").alias("n"),
+            F.first("center").alias("mean"),
+            F.sum((F.col("n") - 1) * F.col("variance") + apart).alias("squares"),
             F.min("min").alias("min"),
             F.max("max").alias("max"),
-            F.avg("std").alias("mean_dim_stddev"),
         )
     )
+    n, count = F.max("n"), F.count(F.lit(1))
+    between = n * count * F.var_pop("mean")
+    return dims.groupBy("pooling").agg(
+        F.avg("mean").alias("mean"),
+        F.sqrt((F.sum("squares") + between) / (n * count - 1)).alias("stddev"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.avg(F.sqrt(F.col("squares") / (F.col("n") - 1))).alias("mean_dim_stddev"),
+    )

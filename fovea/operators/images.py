@@ -15,6 +15,11 @@ import pyarrow as pa
 
 from fovea.functions.tensors import IMAGENET_MEANS_BGR
 
+# What decoders raise on corrupt bytes; anything else, such as a full memory, fails the task.
+DECODE_ERRORS = (
+    ValueError, OSError, EOFError, SyntaxError, LookupError, ArithmeticError, TypeError, struct.error,
+)
+
 Stacker = Callable[[pa.Array], tuple[np.ndarray, list]]
 Shape = tuple[int, int, int]
 
@@ -84,9 +89,7 @@ def file_stack(
             if content is not None:
                 try:
                     image = decode(content)
-                except ImportError:
-                    raise
-                except Exception:  # a corrupt file is data, not a failure of the job
+                except DECODE_ERRORS:  # a corrupt file is data, not a failure of the job
                     image = None
                 if image is not None:
                     reason = check_shape(image.shape, shape)

@@ -19,7 +19,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fovea.operators.moments import MAX_MOMENT_WIDTH, Moments, feature_moments, stand_in
+from fovea.functions.tensors import feature_reject_reason
+from fovea.operators.moments import Moments, covariance_rows, feature_moments, stand_in
 
 # the widest covariance MLlib computes
 MAX_WIDTH = 65_535
@@ -28,9 +29,40 @@ MAX_WIDTH = 65_535
 def with_vectors(
     df: DataFrame, features_col: str = "features", output_col: str = "vectors"
 ) -> DataFrame:
-    """Add the feature array as an ML vector, converted in the JVM. NULL arrays are left out."""
-    rows = df.where(F.col(features_col).isNotNull())
-    return rows.withColumn(output_col, array_to_vector(features_col))
+    """Add the feature array as an ML vector, converted in the JVM.
+
+    A NULL array is an error when the rows are computed; `split_features` tells such rows apart.
+    """
+    present = F.coalesce(
+        F.col(features_col),
+        F.raise_error(F.lit(f"{features_col} is NULL; split_features tells such rows apart")).cast(
+            df.schema[features_col].dataType
+        ),
+    )
+    return df.withColumn(output_col, array_to_vector(present))
+
+
+def feature_width(df: DataFrame, features_col: str) -> int:
+    """Width of the feature arrays, as of one that is present."""
+    present = df.where(F.col(features_col).isNotNull())
+    row = present.select(F.size(features_col).alias("n")).first()
+    if row is None:
+        raise ValueError("no rows to take the feature width from")
+    return row["n"]
+
+
+def split_features(
+    df: DataFrame, features_col: str = "features", width: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that can enter a fit, the other ones with `reject_reason`).
+
+    Without `width`, that of any one row that has features is asked for.
+    """
+    if width is None:
+        width = feature_width(df, features_col)
+    reason = feature_reject_reason(features_col, width)
+    rejected = df.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+    return df.where(reason.isNull()), rejected
 
 
 def vector_width(df: DataFrame, vector_col: str) -> int:
@@ -83,11 +115,7 @@ def fit_pca(
 
 def covariance_table(df: DataFrame, column: str = "vectors") -> DataFrame:
     """Sample covariance as rows (i, j, covariance)."""
-    matrix = feature_moments(df, column).covariance
-    flat = df.sparkSession.createDataFrame(
-        [(i, row.tolist()) for i, row in enumerate(matrix)], "i int, row array<double>"
-    )
-    return flat.select("i", F.posexplode("row").alias("j", "covariance"))
+    return covariance_rows(df, column)
 
 
 def scree(model: PCAModel, spark: SparkSession) -> DataFrame:
@@ -95,8 +123,9 @@ def scree(model: PCAModel, spark: SparkSession) -> DataFrame:
     return _scree_table(model.explainedVariance.toArray(), spark)
 
 
-def _curve(covariance: np.ndarray, spark: SparkSession) -> DataFrame:
-    variances = np.clip(np.linalg.eigvalsh(covariance)[::-1], 0, None)
+def scree_of(moments: Moments, spark: SparkSession, standardized: bool = False) -> DataFrame:
+    """The curve of the raw or the standardized vectors with these moments."""
+    variances = np.clip(moments.principal_axes(standardized)[0][::-1], 0, None)
     total = variances.sum()
     if not total > 0:
         raise ValueError("the vectors have no variance")
@@ -109,8 +138,8 @@ def scree_pair(
     """The curves of the raw and of the standardized vectors, from one pass over the data, or none
     where the moments are known."""
     moments = moments or feature_moments(df, column)
-    raw, standardized = moments.covariance, moments.standardized_covariance()
-    return _curve(raw, df.sparkSession), _curve(standardized, df.sparkSession)
+    spark = df.sparkSession
+    return scree_of(moments, spark), scree_of(moments, spark, standardized=True)
 
 
 def _scree_table(shares: np.ndarray, spark: SparkSession) -> DataFrame:
@@ -209,35 +238,25 @@ def fit_reduction(
     if_never: str = "raise",
     features_col: str | None = None,
     moments: Moments | None = None,
+    k: int | None = None,
 ) -> Reduction:
     """Scale (optional), choose k from the explained variance, project on k components.
 
     Reads `df` once, for its moments (from `features_col` where the vectors also exist as arrays);
-    scaler and PCA are fitted on the table that stands in for them. With `moments` given, as when a
-    raw and a standardized reduction are fitted side by side, it is not read at all. Vectors too
-    wide for that take a scaler pass and one full PCA, cut to k. Give it a staged table.
+    scaler and PCA are fitted on the table that stands in for them, whatever the width. With `moments`
+    given, as when a raw and a standardized reduction are fitted side by side, it is not read at
+    all. `k` fixes the number of components. Give it a staged table.
     """
     spark, stages, source = df.sparkSession, [], input_col
-    wide = moments is None and vector_width(df, input_col) > MAX_MOMENT_WIDTH
-    if wide:
-        data = df
-    else:
-        moments = moments or feature_moments(df, features_col or input_col)
-        data = stand_in(moments, spark, input_col)
+    moments = moments or feature_moments(df, features_col or input_col)
+    curve = scree_of(moments, spark, standardize)
+    k = k or select_k(curve, threshold, if_never)
+    data = stand_in(moments, spark, input_col, standardize)
     if standardize or with_mean:
         source = f"{input_col}_std"
         stages.append(fit_scaler(data, input_col, source, with_mean, with_std=standardize))
         data = stages[-1].transform(data)
     full = f"{output_col}_full"
-    if wide:
-        pca = fit_pca(data, source, full)
-        curve = scree(pca, spark)
-        k = select_k(curve, threshold, if_never)
-        stages.append(truncate_pca(pca, k, output_col))
-    else:
-        covariance = moments.standardized_covariance() if standardize else moments.covariance
-        curve = _curve(covariance, spark)
-        k = select_k(curve, threshold, if_never)
-        pca = fit_pca(data, source, full, k)
-        stages += [pca, _sign_stage(pca, k, full, output_col)]
+    pca = fit_pca(data, source, full, k)
+    stages += [pca, _sign_stage(pca, k, full, output_col)]
     return Reduction(PipelineModel(stages=stages), k, curve)

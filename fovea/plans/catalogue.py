@@ -17,10 +17,11 @@ from fovea.operators import inspect, reduce
 from fovea.operators.backends import linear_model, pooling_model
 from fovea.operators.featurize import featurize, pooling_report, split_rejects
 from fovea.operators.images import decode_bitmap, file_stack, image_stack, tensor_stack
+from fovea.operators.moments import feature_moments
 from fovea.plans.feature_table import build_feature_table, reduce_features
 from fovea.plans.staging import SHAPE, staged_files
 from fovea.session import shared_dir
-from fovea.sources import files, sinks
+from fovea.sources import files, object_store, sinks
 from fovea.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,32 @@ def page_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.dataset_inventory(pages, "url", "size")
 
 
+def pack_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged files as one packed table, read back."""
+    folder = shared_dir(spark, "packed")
+    files.pack_files(spark, staged_files(spark, sf_dir), folder)
+    return files.read_packed(spark, folder).select(
+        "class", "length", F.md5("content").alias("content_md5")
+    )
+
+
+def store_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names and lengths of the settings of one user's store, and its address.
+
+    The customers stand in for the table of credentials.
+    """
+    credentials = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("User name"),
+        F.concat(F.lit("KEY"), "c_custkey").alias("Access key ID"),
+        F.col("c_mktsegment").alias("Secret access key"),
+    )
+    user = table(spark, sf_dir, "customer").agg(F.min_by("c_name", "c_custkey")).first()[0]
+    settings = object_store.store_settings_from_table(credentials, user, "pictures")
+    rows = [(name, value) for name, value in settings.items()]
+    rows.append(("uri", object_store.store_uri("pictures", "training")))
+    return spark.createDataFrame(rows, "setting string, value string")
+
+
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "csv")
     customers = table(spark, sf_dir, "customer").select(
@@ -198,7 +225,10 @@ def preprocess_bgr_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice("embedding", r * 8 + 1, 8))
+    """Each embedding cut into rows of eight, and flattened again."""
+    starts = F.filter(F.sequence(F.lit(1), F.size("embedding") + 1, F.lit(8)),
+                      lambda at: at <= F.size("embedding"))
+    rows = F.transform(starts, lambda at: F.slice("embedding", at, 8))
     nested = table(spark, sf_dir, "embeddings").select("vec_id", rows.alias("tensor"))
     return long_form(nested, ["vec_id"], tensors.flatten_tensor("tensor"), "at")
 
@@ -276,7 +306,7 @@ def featurize_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = files.read_image_tree(spark, staged_files(spark, sf_dir))
     scan = images.select(
         paths.class_from_path("path").alias("class"),
-        F.md5(F.hex("image.data")).alias("image_key"),
+        F.md5("image.data").alias("image_key"),
         "image",
     )
     features = featurize(
@@ -343,17 +373,12 @@ def covariance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.select("i", "j", rounded("covariance", 6).alias("covariance"))
 
 
-def _scree_2d(spark: SparkSession, sf_dir: str, variant: str) -> DataFrame:
-    rows, column = price_pairs(spark, sf_dir), "vectors"
-    if variant == "std":
-        rows, column = reduce.fit_scaler(rows).transform(rows), "vectors_std"
-    return reduce.scree(reduce.fit_pca(rows, column), spark)
-
-
 def _explained_2d(variant: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        moments = feature_moments(price_pairs(spark, sf_dir), "features")
+        curve = reduce.scree_of(moments, spark, standardized=variant == "std")
         share = rounded("explained_variance", 6).alias("explained_variance")
-        return _scree_2d(spark, sf_dir, variant).select("component", share)
+        return curve.select("component", share)
 
     return query
 
@@ -410,17 +435,19 @@ def pca_transform_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_truncate_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full PCA fitted on the data itself, cut to one component without a second fit."""
+    """Projection on the first component alone."""
     rows = price_pairs(spark, sf_dir)
-    scaled = reduce.fit_scaler(rows).transform(rows)
-    model = reduce.truncate_pca(reduce.fit_pca(scaled, "vectors_std"), 1, "reduced")
-    return _long_projection(model.transform(scaled))
+    fitted = reduce.fit_reduction(rows, output_col="reduced", features_col="features", k=1)
+    return _long_projection(fitted.model.transform(rows))
 
 
 def pca_raw_variance_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variance of the raw projection per component, as a logarithm: the two differ widely."""
     rows = price_pairs(spark, sf_dir)
-    projected = reduce.fit_pca(rows).transform(rows).select(vector_to_array("pca").alias("pca"))
+    fitted = reduce.fit_reduction(
+        rows, output_col="pca", features_col="features", standardize=False, k=2
+    )
+    projected = fitted.model.transform(rows).select(vector_to_array("pca").alias("pca"))
     variances = projected.agg(
         *[F.var_samp(F.get("pca", F.lit(i))).alias(f"v{i}") for i in range(2)]
     )
@@ -430,19 +457,19 @@ def pca_raw_variance_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean powers of the 64 eigenvalues relative to their mean, raw and standardized.
+    """Mean powers of the eigenvalues relative to their mean, raw and standardized.
 
     SQL has no eigenvalues, but their power sums are traces of powers of the covariance matrix.
     """
-    rows = vectors(spark, sf_dir)
-    scaled = reduce.fit_scaler(rows).transform(rows)
+    moments = feature_moments(table(spark, sf_dir, "embeddings"), "embedding")
     powers = F.explode(F.array(*[F.lit(p) for p in (2, 3, 4)]))
     raw, std = (
-        reduce.scree(reduce.fit_pca(data, column), spark)
-        .select("explained_variance", F.lit(variant).alias("variant"), powers.alias("power"))
-        for variant, data, column in (("raw", rows, "vectors"), ("std", scaled, "vectors_std"))
+        reduce.scree_of(moments, spark, standardized=variant == "std").select(
+            "explained_variance", F.lit(variant).alias("variant"), powers.alias("power")
+        )
+        for variant in ("raw", "std")
     )
-    relative = F.pow(F.col("explained_variance") * 64, "power")
+    relative = F.pow(F.col("explained_variance") * len(moments.mean), "power")
     return (
         raw.unionByName(std)
         .groupBy("variant", "power")
@@ -453,7 +480,7 @@ def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squared length of every full projection, which a rotation must not change."""
     embeddings = table(spark, sf_dir, "embeddings")
-    reduced, _ = reduce_features(
+    reduced, _, _ = reduce_features(
         embeddings, ["vec_id"], "embedding", threshold=2.0, if_never="all"
     )
     squares = F.transform(vector_to_array("features_std_pca"), lambda v: v * v)
@@ -461,9 +488,26 @@ def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduced.select("vec_id", rounded(norm).alias("squared_length"))
 
 
+def reduce_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings of which some are spoilt, by what is wrong with them; the others are reduced."""
+    spoilt = (
+        F.when(F.col("vec_id") % 7 == 1, F.lit(None).cast("array<float>"))
+        .when(F.col("vec_id") % 7 == 2, F.slice("embedding", 1, 63))
+        .when(F.col("vec_id") % 7 == 3, F.transform("embedding", lambda v: v * F.lit(float("nan"))))
+        .when(F.col("vec_id") % 7 == 4, F.concat(F.slice("embedding", 1, 63), F.array(F.lit(None))))
+        .otherwise(F.col("embedding"))
+    )
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", spoilt.alias("features"))
+    reduced, rejects, _ = reduce_features(rows, ["vec_id"], width=64)
+    outcomes = rejects.select("reject_reason").unionByName(
+        reduced.select(F.lit("reduced").alias("reject_reason"))
+    )
+    return outcomes.groupBy(F.col("reject_reason").alias("outcome")).agg(F.count("*").alias("n"))
+
+
 def scree_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = reduce.scree(reduce.fit_pca(vectors(spark, sf_dir)), spark)
-    return curve.select(
+    moments = feature_moments(table(spark, sf_dir, "embeddings"), "embedding")
+    return reduce.scree_of(moments, spark).select(
         "component", *[rounded(c, 6).alias(c) for c in ("explained_variance", "cumulative")]
     )
 
@@ -474,7 +518,7 @@ def scree_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings scaled and reduced to the components that hold 99 % of the variance."""
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
     reduced = reduced.withColumn("k", F.lit(fitted.k))
     return long_form(
         reduced, ["vec_id", "class", "k"], vector_to_array("features_std_pca"), "component", 1
@@ -487,7 +531,7 @@ def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     Those need only the first and the last eigenvector, which SQL can get by squaring matrices.
     """
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
     values = vector_to_array("features_std_pca")
     return reduced.select("vec_id", "class", values.alias("v")).select(
         "vec_id",
@@ -540,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "image_scan": image_scan,
     "dataset_inventory": dataset_inventory,
     "page_inventory": page_inventory,
+    "pack_files": pack_files,
+    "store_settings": store_settings,
     "csv_scan": csv_scan,
     "sink_overwrite": sink_overwrite,
     "sink_partitioned": sink_partitioned,
@@ -581,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "pca_raw_variance_2d": pca_raw_variance_2d,
     "pca_invariants": pca_invariants,
     "pca_norms": pca_norms,
+    "reduce_rejects": reduce_rejects,
     "scree_embeddings": scree_embeddings,
     "feature_table": feature_table,
     "feature_table_ends": feature_table_ends,

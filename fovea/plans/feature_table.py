@@ -11,7 +11,7 @@ from fovea.functions.paths import class_from_path
 from fovea.functions.tensors import feature_reject_reason
 from fovea.operators.featurize import Model, featurize, split_rejects
 from fovea.operators.images import Stacker
-from fovea.operators.reduce import Reduction, fit_reduction, with_vectors
+from fovea.operators.reduce import Reduction, fit_reduction, split_features, with_vectors
 from fovea.session import stage
 
 
@@ -20,14 +20,19 @@ def reduce_features(
     keep: list[str],
     features_col: str = "features",
     output_col: str = "features_std_pca",
+    width: int | None = None,
     **options,
-) -> tuple[DataFrame, Reduction]:
-    """(keep..., reduced vector) from a staged table of feature arrays, and the fitted model."""
-    vectors = with_vectors(features.select(*keep, features_col), features_col)
+) -> tuple[DataFrame, DataFrame, Reduction]:
+    """(keep..., reduced vector) from a staged table of feature arrays, the rows that cannot enter
+    the fit as (keep..., reject_reason), and the fitted model."""
+    rows = features.select(*dict.fromkeys([*keep, features_col]))
+    usable, rejects = split_features(rows, features_col, width)
+    vectors = with_vectors(usable, features_col)
     reduction = fit_reduction(
         vectors, output_col=output_col, features_col=features_col, **options
     )
-    return reduction.model.transform(vectors).select(*keep, output_col), reduction
+    table = reduction.model.transform(vectors).select(*keep, output_col)
+    return table, rejects.select(*keep, "reject_reason"), reduction
 
 
 def build_feature_table(
@@ -54,6 +59,8 @@ def build_feature_table(
         F.coalesce("reject_reason", feature_reject_reason("features", width)),
     )
     usable, rejects = split_rejects(stage(checked, "features"))
-    reduced, fitted = reduce_features(usable, columns, output_col=output_col, **(reduction or {}))
+    reduced, _, fitted = reduce_features(
+        usable, columns, output_col=output_col, width=width, **(reduction or {})
+    )
     table = reduced.withColumn("class", class_from_path(path_col))
     return table, rejects.select(*columns, "reject_reason"), fitted

@@ -153,6 +153,18 @@ GROUP BY class""",
 SELECT string_split(url, '/')[-2] AS class, count(*) AS n_files,
        sum(strlen(html))::BIGINT AS total_bytes
 FROM pages GROUP BY 1""",
+    "pack_files": f"""
+WITH {PIXELS}
+SELECT class, (54 + 192 + 1)::BIGINT AS length,
+       md5({FILE_BYTES}) AS content_md5
+FROM images
+UNION ALL
+SELECT 'label=page', (strlen(html) + 1)::BIGINT, md5(html || chr(10)) FROM pages""",
+    "store_settings": """
+WITH first AS (SELECT * FROM customer ORDER BY c_custkey LIMIT 1)
+SELECT 'fs.s3a.bucket.pictures.access.key' AS setting, 'KEY' || c_custkey AS value FROM first
+UNION ALL SELECT 'fs.s3a.bucket.pictures.secret.key', c_mktsegment FROM first
+UNION ALL SELECT 'uri', 's3a://pictures/training'""",
     "csv_scan": "SELECT c_name AS user_name, c_custkey, c_mktsegment FROM customer",
     "sink_overwrite": ORDERS,
     "sink_partitioned": ORDERS,
@@ -218,7 +230,7 @@ SELECT vec_id, j::INTEGER AS dim,
        round(greatest(sum(v * ((7 * d + 3 * j) % 5 - 2)), 0), 4) + 0.0 AS value
 FROM elements, range(8) outputs(j) GROUP BY vec_id, j""",
     "featurize_files": _image_features(FILE_BYTES),
-    "featurize_images": _image_features("shown_hex"),
+    "featurize_images": _image_features("unhex(shown_hex)"),
     "shape_validate": """
 SELECT 'label=' || label AS class, 'accepted' AS outcome, count(*) AS n
 FROM embeddings GROUP BY label
@@ -286,6 +298,10 @@ FROM traces, (SELECT unnest([2, 3, 4])::INTEGER AS power)""",
 WITH {ELEMENTS}, stds AS (SELECT d, stddev_samp(v) AS s FROM elements GROUP BY d)
 SELECT vec_id, round(sum((v / s) ** 2), 4) + 0.0 AS squared_length
 FROM elements JOIN stds USING (d) GROUP BY vec_id""",
+    "reduce_rejects": """
+SELECT CASE vec_id % 7 WHEN 1 THEN 'missing' WHEN 2 THEN 'wrong width' WHEN 3 THEN 'not finite'
+         WHEN 4 THEN 'not finite' ELSE 'reduced' END AS outcome, count(*) AS n
+FROM embeddings GROUP BY outcome""",
     "feature_table_ends": f"""
 WITH {ELEMENTS},
 scaled AS MATERIALIZED (
@@ -333,5 +349,7 @@ SELECT class, md5({FILE_BYTES}) AS image_key, component,
              / sqrt(2), 4) + 0.0 AS value
 FROM features JOIN images USING (vec_id), stats, (SELECT unnest([1, 2])::INTEGER AS component)
 WHERE component = 1 OR (1 + abs(r)) / 2 < 0.99""",
-    "stream_scores": _projection(2),
+    "stream_scores": f"""
+SELECT p.* FROM ({_projection(2)}) p, (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem)
+WHERE component = 1 OR (1 + abs(r)) / 2 < 0.99""",
 }

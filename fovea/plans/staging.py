@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from fovea.session import shared_dir
 
+FILES_PER_TASK = 256
 SIDE = 8
 SHAPE = (SIDE, SIDE, 3)
 
@@ -65,8 +66,8 @@ def staged_files(spark: SparkSession, sf_dir: str) -> str:
     if key not in _staged:
         root = shared_dir(spark, "files")
         rows = file_rows(spark, sf_dir)
-        # small tables come in one scan task, which would open every file in turn
-        rows = rows.repartition(spark.sparkContext.defaultParallelism)
+        # a task writes its files in turn: as many tasks as it takes for FILES_PER_TASK each
+        rows = rows.repartition(-(-rows.count() // FILES_PER_TASK) or 1)
         rows.write.partitionBy("label").option("maxRecordsPerFile", 1).text(root)
         _staged[key] = root
     return _staged[key]

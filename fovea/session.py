@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 import zipfile
 
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
-_local_scratch: dict[str, str] = {}
+_shared: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "fovea", master: str | None = None, **conf: str) -> SparkSession:
@@ -21,6 +20,10 @@ def build_session(app_name: str = "fovea", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        # rows that go to a Python worker at a time; records of images are large
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+        # a scan task takes about a thousand small files
+        "spark.sql.files.openCostInBytes": "128k",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app_name)
@@ -31,24 +34,30 @@ def build_session(app_name: str = "fovea", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder name under the folder the cluster shares (`spark.checkpoint.dir`).
+    """A new, unused folder name under the folder the cluster shares.
 
-    Only a local-mode session may leave that setting out; it then gets its own scratch folder.
+    That is `spark.checkpoint.dir`; where it is unset, a folder in the warehouse, which a cluster
+    shares as well. `clear_shared` deletes what was written under these names.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not is_local(spark):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        app = spark.sparkContext.applicationId
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="fovea-")
-        base = _local_scratch[app]
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fovea-scratch"
+    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _shared.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Delete the folders that this application was given by `shared_dir`; the number of them.
+
+    Call it when no DataFrame that reads a staged table is needed any more.
+    """
+    folders = _shared.pop(spark.sparkContext.applicationId, [])
+    configuration = spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(configuration).delete(path, True)
+    return len(folders)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:

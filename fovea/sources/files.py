@@ -37,39 +37,76 @@ def read_binary(
 
 
 def read_class_tree(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Raw file rows of `<root>/<class>/<file>`.
+    """Raw file rows of the glob `<root>/*/*`: files in the class folders, and in folders directly in them.
 
-    The glob names the class directories, not the files: a glob over the files would turn every
-    file into a listing path of its own, this one needs a listing call per class.
+    `root` may be any path or pattern. Only the class folders are resolved first; the glob itself would
+    turn every file into a listing path of its own.
     """
-    root = root.rstrip("/")
-    files = read_binary(spark, f"{root}/*", pattern)
-    return _below_a_class(files.select("path", "modificationTime", "length", "content"), root)
+    folders = class_folders(spark, root)
+    files = read_binary(spark, [literal_path(f) for f in folders], pattern, recursive=True)
+    return _two_levels(files.select("path", "modificationTime", "length", "content"), folders)
 
 
-def _below_a_class(files: DataFrame, root: str) -> DataFrame:
-    """Without the files lying directly in `root`, which `<root>/*` matches too."""
-    name = root.rsplit("/", 1)[-1]
-    if not name.strip(".") or GLOB_CHARACTERS & set(name):
-        return files
-    return files.where(F.try_element_at(path_segments("path"), F.lit(-3)) == name)
+def _two_levels(files: DataFrame, folders: list[str]) -> DataFrame:
+    """Files of the folders and of those directly in them; all folders match one pattern, so they lie
+    equally deep."""
+    return files.where(F.size(path_segments("path")) <= folders[0].count("/") + 3)
+
+
+def class_folders(spark: SparkSession, root: str) -> list[str]:
+    """The folders that `<root>/*` matches, one for each class."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*")
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = system.globStatus(path) or []
+    folders = sorted(status.getPath().toString() for status in found if status.isDirectory())
+    if not folders:
+        raise FileNotFoundError(f"no class folder matches {path}")
+    return folders
+
+
+def pack_files(spark: SparkSession, root: str, out: str, pattern: str | None = None) -> None:
+    """`<root>/<class>/**` as one table of few large files, (path, length, content, class).
+
+    Classes are read and appended one by one, so the driver never lists more than one of them. Read
+    the table with `read_packed`; everything that takes file rows takes its rows. A later call
+    appends, so a class that failed is packed again into a new table.
+    """
+    for folder in class_folders(spark, root):
+        rows = read_binary(spark, literal_path(folder), pattern, recursive=True)
+        rows = rows.select("path", "length", "content", F.lit(folder.rsplit("/", 1)[-1]).alias("class"))
+        rows.write.mode("append").parquet(out)
+
+
+def literal_path(path: str) -> str:
+    """`path` with the characters of patterns escaped."""
+    return "".join("\\" + c if c in GLOB_CHARACTERS else c for c in path)
+
+
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    schema = "path string, length bigint, content binary, class string"
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_images(
-    spark: SparkSession, path: str | list[str], drop_invalid: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    drop_invalid: bool = False,
+    recursive: bool = False,
 ) -> DataFrame:
     """Images decoded by the JVM reader: struct `image` with bytes in BGR order.
 
     A file that is no image yields a row of height -1, or none with `drop_invalid`.
     """
-    return spark.read.format("image").option("dropInvalid", str(drop_invalid).lower()).load(path)
+    reader = spark.read.format("image").option("dropInvalid", str(drop_invalid).lower())
+    return reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
 
 
 def read_image_tree(spark: SparkSession, root: str, drop_invalid: bool = False) -> DataFrame:
-    """(path, image) of `<root>/<class>/<file>`, paths spelled as in `read_class_tree`."""
-    root = root.rstrip("/")
-    images = read_images(spark, f"{root}/*", drop_invalid)
-    return _below_a_class(images.select(plain_path("image.origin").alias("path"), "image"), root)
+    """(path, image) of the files of `read_class_tree`, paths spelled as there."""
+    folders = class_folders(spark, root)
+    images = read_images(spark, [literal_path(f) for f in folders], drop_invalid, recursive=True)
+    images = images.select(plain_path("image.origin").alias("path"), "image")
+    return _two_levels(images, folders)
 
 
 def read_delimited(

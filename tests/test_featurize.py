@@ -66,16 +66,24 @@ def test_result_does_not_depend_on_batches_or_partitions(spark, tensor_rows, bat
     assert (np.array([found[i] for i in range(500)], np.float32) == expected).all()
 
 
-def test_arrow_batches_are_lowered_to_the_model_batch(spark, tensor_rows):
-    df, _ = tensor_rows
+def test_featurize_leaves_the_session_as_it_is(spark, sf_dir):
+    from fovea.plans.catalogue import QUERIES
+
     before = spark.conf.get(ARROW_ROWS)
-    try:
-        for session, batch, expected in ((10_000, 100, 100), (50, 100, 50), (0, 100, 100)):
-            set_batch_rows(spark, session)
-            featurize(df, lambda: abs, tensor_stack((12,)), "t", ["id"], batch_rows=batch)
-            assert spark.conf.get(ARROW_ROWS) == str(expected)
-    finally:
-        spark.conf.set(ARROW_ROWS, before)
+    spread = sorted(QUERIES["featurize_spread"](spark, sf_dir).collect())
+    assert spark.conf.get(ARROW_ROWS) == before
+    assert sorted(QUERIES["featurize_linear"](spark, sf_dir).collect()) == spread
+    assert spark.conf.get(ARROW_ROWS) == before
+
+
+def test_kept_models_are_bounded(monkeypatch):
+    from fovea.operators import featurize as module
+
+    monkeypatch.setattr(module, "_worker_models", {})
+    loads = []
+    for key in "abcd" "abcd" "e" "bcde" "a":
+        module._load_once(key, lambda key=key: loads.append(key) or key)
+    assert loads == ["a", "b", "c", "d", "e", "a"] and len(module._worker_models) == 4
 
 
 def test_outputs_of_any_rank_are_flattened(spark, tensor_rows):
@@ -204,10 +212,9 @@ def test_not_pretrained_conv_shapes(pooling, width):
     assert (output == backends.not_pretrained_conv(pooling=pooling)()(batch).reshape(2, -1)).all()
 
 
-def test_weights_too_large_to_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(backends, "MAX_BROADCAST_BYTES", 100)
+def test_weights_too_large_to_broadcast(spark):
     with pytest.raises(ValueError, match="too large"):
-        backends.linear_model(spark, np.zeros((10, 10)))
+        backends.linear_model(spark, np.zeros((10, 10)), max_broadcast_bytes=100)
 
 
 def test_pooling_report_shows_that_averages_smooth(spark, tensor_rows):

@@ -125,6 +125,27 @@ def test_global_pool(spark, how, positions, channels):
     assert np.allclose(found, expected)
 
 
+@pytest.mark.parametrize("how", ["max", "avg"])
+def test_global_pool_refuses_a_ragged_length(spark, how):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 99.0],)], "t array<double>")
+    with pytest.raises(Exception, match="no multiple of 3"):
+        df.select(tensors.global_pool("t", 3, how)).collect()
+
+
+def test_only_corrupt_files_become_rejects():
+    def fail(error):
+        def decode(content):
+            raise error
+
+        return images.file_stack(decode, (2, 2, 3))
+
+    for error in (ValueError("x"), OSError("x"), struct.error("x"), IndexError("x")):
+        assert fail(error)(pa.array([b"1"]))[1] == ["not an image"]
+    for error in (MemoryError(), ImportError(), RuntimeError()):
+        with pytest.raises(type(error)):
+            fail(error)(pa.array([b"1"]))
+
+
 def test_global_pool_refuses_other_kinds():
     with pytest.raises(ValueError):
         tensors.global_pool("t", 4, "median")

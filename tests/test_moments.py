@@ -44,12 +44,29 @@ def test_an_outlier_first_row_does_not_spoil_the_sums(spark):
     assert np.allclose(found.covariance, np.cov(values.T))
 
 
-@pytest.mark.parametrize("partials", [1, 3])
-def test_fewer_tasks_give_the_same(spark, partials):
+@pytest.mark.parametrize("fan_in", [1, 2, 3, 64])
+def test_merging_in_groups_gives_the_same(spark, monkeypatch, fan_in):
+    monkeypatch.setattr(m, "FAN_IN", fan_in)
     values = np.random.default_rng(8).normal(size=(300, 4))
-    df = frame(spark, values, 20)
-    found = m.feature_moments(df, "features", max_partials=partials)
-    assert np.allclose(found.covariance, np.cov(values.T))
+    found = m.feature_moments(frame(spark, values, 20), "features")
+    assert found.n == 300 and np.allclose(found.covariance, np.cov(values.T))
+
+
+def test_wide_vectors_take_the_same_way(spark):
+    values = np.random.default_rng(14).normal(size=(12, 2100))
+    df = frame(spark, values, 3)
+    expected = np.cov(values.T)
+    known = m.feature_moments(df, "features")
+    assert np.allclose(known.covariance, expected)
+    raw, _ = reduce.scree_pair(df, moments=known)
+    assert raw.count() == 2100
+    fitted = reduce.fit_reduction(df, output_col="r", standardize=False, moments=known, threshold=0.5)
+    projected = matrix(fitted.model.transform(df), "r")
+    assert projected.shape == (12, fitted.k) and fitted.k < 11
+    assert np.allclose(projected.var(axis=0, ddof=1).sum(), known.principal_axes()[0][::-1][: fitted.k].sum())
+    cells = reduce.covariance_table(df, "features").where("i = 2099 or j = 7").collect()
+    assert len(cells) == 4199
+    assert all(np.isclose(r["covariance"], expected[r["i"], r["j"]]) for r in cells)
 
 
 @pytest.mark.parametrize("block", [1, 10, 17])
@@ -66,18 +83,18 @@ def test_float_arrays(spark):
     assert np.allclose(m.feature_moments(df, "f").covariance, np.cov(values.astype(float).T))
 
 
-def test_moments_refuse(spark, monkeypatch):
+def test_moments_refuse(spark):
     with pytest.raises(ValueError, match="no rows"):
         m.feature_moments(frame(spark, [[1.0]]).limit(0), "features")
     with pytest.raises(ValueError, match="at least two"):
         m.feature_moments(frame(spark, [[1.0, 2.0]]), "features")
-    rows = [([1.0, 2.0],)] * m.ORIGIN_ROWS + [([1.0],), ([1.0, 2.0, 3.0],)]
+    rows = [([1.0, 2.0],)] * 100 + [([1.0],), ([1.0, 2.0, 3.0],)]
     ragged = spark.createDataFrame(rows, "f array<double>").coalesce(1)
     with pytest.raises(Exception, match="not every row has 2"):
         m.feature_moments(ragged, "f")
-    monkeypatch.setattr(m, "MAX_MOMENT_WIDTH", 2)
-    with pytest.raises(ValueError, match="at most 2"):
-        m.feature_moments(frame(spark, np.eye(3)), "features")
+    apart = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "f array<double>").repartition(2)
+    with pytest.raises(Exception, match="dimensions"):
+        m.feature_moments(apart, "f")
 
 
 def test_stand_in_has_the_moments(spark):
@@ -91,15 +108,29 @@ def test_stand_in_has_the_moments(spark):
 
 @pytest.mark.parametrize("standardize", [False, True])
 @pytest.mark.parametrize("with_mean", [False, True])
-def test_fit_on_the_stand_in_is_the_fit_on_the_data(spark, monkeypatch, standardize, with_mean):
+def test_fit_on_the_stand_in_is_the_fit_on_the_data(spark, standardize, with_mean):
     values = np.random.default_rng(11).normal(size=(400, 8)) @ np.diag(np.linspace(1, 4, 8)) + 3
     df = frame(spark, values)
     options = {"output_col": "r", "standardize": standardize, "with_mean": with_mean, "threshold": 0.8}
     short = reduce.fit_reduction(df, features_col="features", **options)
-    monkeypatch.setattr(reduce, "MAX_MOMENT_WIDTH", 1)
-    direct = reduce.fit_reduction(df, **options)
-    assert short.k == direct.k < 8
-    assert np.allclose(matrix(short.model.transform(df), "r"), matrix(direct.model.transform(df), "r"))
+    data, column = df, "vectors"
+    if standardize or with_mean:
+        scaler = reduce.fit_scaler(df, with_mean=with_mean, with_std=standardize)
+        data, column = scaler.transform(df), "vectors_std"
+    pca = reduce.fit_pca(data, column, "full")
+    assert short.k == reduce.select_k(reduce.scree(pca, spark), 0.8) < 8
+    direct = reduce.truncate_pca(pca, short.k, "r").transform(data)
+    assert np.allclose(matrix(short.model.transform(df), "r"), matrix(direct, "r"))
+
+
+def test_a_fit_decomposes_each_matrix_once(spark, monkeypatch):
+    values = np.random.default_rng(15).normal(size=(100, 5))
+    known = m.feature_moments(frame(spark, values), "features")
+    calls, original = [], np.linalg.eigh
+    monkeypatch.setattr(np.linalg, "eigh", lambda x: calls.append(len(x)) or original(x))
+    for _ in range(2):
+        reduce.fit_reduction(frame(spark, values), output_col="r", moments=known, threshold=0.8)
+    assert calls == [5]
 
 
 def test_known_moments_need_no_pass(spark, monkeypatch):
@@ -112,7 +143,6 @@ def test_known_moments_need_no_pass(spark, monkeypatch):
         raise AssertionError("a pass over the data")
 
     monkeypatch.setattr(reduce, "feature_moments", refuse)
-    monkeypatch.setattr(reduce, "vector_width", lambda df, c: 6 if "std" in c else refuse())
     raw, std = reduce.scree_pair(df, moments=known)
     for apart, standardize, curve in zip(separate, (False, True), (raw, std)):
         shared = reduce.fit_reduction(

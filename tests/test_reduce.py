@@ -199,9 +199,27 @@ def test_fit_refuses(spark, sample, monkeypatch):
         reduce.fit_pca(df)
 
 
-def test_null_features_are_left_out(spark):
+def test_null_features_are_no_silent_loss(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, None)], "id int, features array<double>")
-    assert [r["id"] for r in reduce.with_vectors(df).collect()] == [1]
+    with pytest.raises(Exception, match="features is NULL"):
+        reduce.with_vectors(df).collect()
+    usable, rejects = reduce.split_features(df)
+    assert [r["id"] for r in usable.collect()] == [1]
+    assert [(r["id"], r["reject_reason"]) for r in rejects.collect()] == [(2, "missing")]
+
+
+def test_unusable_features_are_rejected_with_reasons(spark, sample):
+    odd = [(1000, None), (1001, [1.0]), (1002, [float("nan")] * 10), (1003, [1.0] * 9 + [None])]
+    rows = frame(spark, sample).drop("vectors").unionByName(
+        spark.createDataFrame(odd, "id int, features array<double>")
+    )
+    table, rejects, fitted = reduce_features(rows, ["id"], width=10, threshold=0.9)
+    assert table.count() == 300
+    assert {r["id"]: r["reject_reason"] for r in rejects.collect()} == {
+        1000: "missing", 1001: "wrong width", 1002: "not finite", 1003: "not finite",
+    }
+    clean, _, again = reduce_features(frame(spark, sample).drop("vectors"), ["id"], threshold=0.9)
+    assert np.allclose(matrix(table, "features_std_pca"), matrix(clean, "features_std_pca"))
 
 
 def test_model_survives_saving(spark, sample, tmp_path):
@@ -215,6 +233,7 @@ def test_model_survives_saving(spark, sample, tmp_path):
 
 def test_reduce_features_keeps_columns(spark, sample):
     df = frame(spark, sample).drop("vectors").withColumn("class", F.lit("x"))
-    table, fitted = reduce_features(df, ["id", "class"], threshold=0.9)
+    table, rejects, fitted = reduce_features(df, ["id", "class"], threshold=0.9)
+    assert rejects.columns == ["id", "class", "reject_reason"] and rejects.count() == 0
     assert table.columns == ["id", "class", "features_std_pca"]
     assert matrix(table, "features_std_pca").shape == (300, fitted.k)

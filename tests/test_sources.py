@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pytest
 from fixture_files import png
@@ -19,19 +21,36 @@ def test_class_tree_has_the_files_of_the_classes(spark, image_root):
     assert {r["c"]: r["count"] for r in counts} == {"Apple Red": 6, "Pear": 4, "Plum": 5}
 
 
-def test_class_tree_is_the_two_level_glob(spark, image_root):
-    tree = files.read_class_tree(spark, image_root).select("path", "length")
-    glob = files.read_binary(spark, image_root + "/*/*").select("path", "length")
+@pytest.mark.parametrize("name", ["plain", "[odd] {name}", "with*star", "."])
+def test_class_tree_is_the_two_level_glob(spark, tmp_path, name):
+    root = tmp_path / name
+    (root / "a" / "deep" / "deeper").mkdir(parents=True)
+    (root / "b c").mkdir()
+    for file in ("a/x.bin", "a/deep/y.bin", "a/deep/deeper/w.bin", "b c/v.bin", "z.bin"):
+        (root / file).write_text(file)
+    spelled = files.literal_path(str(tmp_path)) + "/" + (files.literal_path(name))
+    tree = files.read_class_tree(spark, spelled).select("path", "length")
+    glob = files.read_binary(spark, spelled + "/*/*").select("path", "length")
     assert sorted(tree.collect()) == sorted(glob.collect())
+    assert {r["path"].rsplit("/", 1)[1] for r in tree.collect()} == {"x.bin", "y.bin", "v.bin"}
 
 
 def test_class_tree_of_a_glob_or_relative_root(spark, image_root):
     parent = image_root.rsplit("/", 1)[0]
-    by_glob = files.read_class_tree(spark, parent + "/train*").select("path")
-    # the root's name is a pattern, so the file without a class cannot be told apart
-    assert by_glob.count() == 16
-    here = files.read_class_tree(spark, image_root + "/.").select("path")
-    assert here.count() == 16
+    assert files.read_class_tree(spark, parent + "/train*").count() == 15
+    assert files.read_class_tree(spark, image_root + "/.").count() == 15
+    with pytest.raises(FileNotFoundError, match="no class folder"):
+        files.read_class_tree(spark, image_root + "/nowhere")
+
+
+def test_packed_files_are_the_files(spark, image_root, tmp_path):
+    out = str(tmp_path / "packed")
+    files.pack_files(spark, image_root, out)
+    packed = files.read_packed(spark, out)
+    tree = files.read_class_tree(spark, image_root).select("path", "length", "content")
+    assert packed.select("path", "length", "content").exceptAll(tree).count() == 0
+    assert packed.count() == 15
+    assert {r["class"] for r in packed.collect()} == {"Apple Red", "Pear", "Plum"}
 
 
 def test_pattern_and_recursion(spark, image_root):
@@ -178,19 +197,27 @@ def test_shared_dir_follows_the_session(spark):
     assert first.startswith(base + "/x-") and first != second
 
 
-def test_a_cluster_has_to_name_its_shared_folder():
+def test_shared_dir_without_the_setting_is_in_the_warehouse():
     class Conf:
         def get(self, name, default=None):
-            return default
+            return {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(name, default)
 
     class Context:
-        master = "spark://somewhere:7077"
+        applicationId = "none"
 
-    class Cluster:
+    class Session:
         conf, sparkContext = Conf(), Context()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(Cluster(), "x")
+    assert session.shared_dir(Session(), "x").startswith("hdfs://store/warehouse/fovea-scratch/x-")
+
+
+def test_staged_tables_can_be_deleted(spark, monkeypatch):
+    monkeypatch.setattr(session, "_shared", {})
+    staged = session.stage(spark.range(3), "gone")
+    folder = staged.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    assert session.clear_shared(spark) == 1 and not os.path.exists(folder)
+    assert session.clear_shared(spark) == 0
 
 
 def test_stage_reads_back_the_same(spark):
