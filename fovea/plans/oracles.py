@@ -4,6 +4,8 @@
 variances a, c and covariance b the eigenvalues are (a+c)/2 +- sqrt(((a-c)/2)^2 + b^2), and for
 standardized features 1 +- |correlation| with loadings (1, +-1)/sqrt(2).
 
+`feature_table` and `scree_embeddings` take all 64 eigenvectors from Jacobi rotations.
+
 In `feature_table_ends`, 99 % of the variance of 64 standardized features is 0.64 short of all:
 all 64 components are needed if the smallest eigenvalue is above that, and 63 if twice it is.
 """
@@ -54,6 +56,50 @@ SELECT class, md5({key}) AS image_key, j::INTEGER AS dim, round(f, 4) + 0.0 AS v
 FROM features JOIN images USING (vec_id)"""
 
 
+def _principal_axes(matrix: str, n: int = 64, sweeps: int = 9) -> str:
+    """Eigenvalues and eigenvectors of an n x n matrix (n even), largest first, by Jacobi rotations.
+
+    `matrix` yields (i, j, m). A step turns n/2 disjoint pairs of dimensions at once so that each
+    pair's cell becomes zero; n - 1 steps, as in a round-robin tournament, meet every pair once. Kind
+    0 is the matrix, kind 1 the product of all rotations, whose columns become the eigenvectors.
+    """
+    last = n - 1
+    return f"""
+matrix AS MATERIALIZED ({matrix}),
+turned(step, kind, i, j, v) AS (
+  SELECT 0, kind, i, j, v FROM (
+    SELECT 0 AS kind, i, j, m AS v FROM matrix
+    UNION ALL SELECT 1, i, j, (i = j)::DOUBLE FROM matrix)
+  UNION ALL (
+    WITH now AS (SELECT * FROM turned WHERE step < {last * sweeps}),
+    cells AS (
+      SELECT i AS p, j AS q, v AS shared,
+             CASE WHEN i = {last} THEN step % {last} WHEN i = step % {last} THEN {last}
+                  ELSE (2 * (step % {last}) - i + {2 * last}) % {last} END AS partner
+      FROM now WHERE kind = 0),
+    diagonal AS (SELECT i AS p, v AS d FROM now WHERE kind = 0 AND i = j),
+    tangents AS (
+      SELECT c.p, c.q, y.d - x.d AS apart,
+             CASE WHEN shared = 0 THEN 0
+                  ELSE CASE WHEN apart * shared < 0 OR apart = 0 AND c.p > c.q THEN -2 ELSE 2 END
+                       * abs(shared) / (abs(apart) + sqrt(apart * apart + 4 * shared * shared)) END AS t
+      FROM cells c JOIN diagonal x ON x.p = c.p JOIN diagonal y ON y.p = c.q WHERE c.q = partner),
+    rotation AS (
+      SELECT p AS a, p AS b, 1 / sqrt(1 + t * t) AS r FROM tangents
+      UNION ALL SELECT p, q, t / sqrt(1 + t * t) FROM tangents)
+    SELECT any_value(step) + 1, kind, coalesce(l.b, i), x.b, sum(v * x.r * coalesce(l.r, 1))
+    FROM now JOIN rotation x ON x.a = j LEFT JOIN rotation l ON kind = 0 AND l.a = i
+    GROUP BY kind, coalesce(l.b, i), x.b)),
+ended AS MATERIALIZED (SELECT * FROM turned WHERE step = {last * sweeps}),
+variances AS (
+  SELECT j, row_number() OVER (ORDER BY v DESC)::INTEGER AS component, v / sum(v) OVER () AS share,
+         sum(v) OVER (ORDER BY v DESC) / sum(v) OVER () AS cumulative
+  FROM ended WHERE kind = 0 AND i = j),
+axes AS (
+  SELECT i AS d, j, v * sign(arg_min(v, i) FILTER (WHERE abs(v) > 1e-12) OVER (PARTITION BY j)) AS u
+  FROM ended WHERE kind = 1)"""
+
+
 PAIR_STATS = """
 stats AS (
   SELECT var_samp(l_quantity) AS a, var_samp(l_extendedprice) AS c,
@@ -302,6 +348,22 @@ FROM elements JOIN stds USING (d) GROUP BY vec_id""",
 SELECT CASE vec_id % 7 WHEN 1 THEN 'missing' WHEN 2 THEN 'wrong width' WHEN 3 THEN 'not finite'
          WHEN 4 THEN 'not finite' ELSE 'reduced' END AS outcome, count(*) AS n
 FROM embeddings GROUP BY outcome""",
+    "scree_embeddings": f"""
+WITH RECURSIVE {ELEMENTS},
+{_principal_axes("SELECT x.d AS i, y.d AS j, covar_samp(x.v, y.v) AS m FROM elements x JOIN elements y USING (vec_id) GROUP BY x.d, y.d")}
+SELECT component, round(share, 6) + 0.0 AS explained_variance, round(cumulative, 6) + 0.0 AS cumulative
+FROM variances""",
+    "feature_table": f"""
+WITH RECURSIVE {ELEMENTS},
+scaled AS MATERIALIZED (
+  SELECT vec_id, label, d, v / s AS x
+  FROM elements JOIN (SELECT d, stddev_samp(v) AS s FROM elements GROUP BY d) USING (d)),
+{_principal_axes("SELECT x.d AS i, y.d AS j, corr(x.x, y.x) AS m FROM scaled x JOIN scaled y USING (vec_id) GROUP BY x.d, y.d")},
+chosen AS (SELECT min(component) AS k FROM variances WHERE cumulative >= 0.99)
+SELECT vec_id, any_value(label) AS class, any_value(k) AS k, component,
+       round(sum(x * u), 4) + 0.0 AS value
+FROM scaled JOIN axes USING (d) JOIN variances USING (j), chosen
+WHERE component <= k GROUP BY vec_id, component""",
     "feature_table_ends": f"""
 WITH {ELEMENTS},
 scaled AS MATERIALIZED (
