@@ -58,16 +58,27 @@ class WordIds(dict):
         if len(self) > CACHED_WORDS:
             self.clear()
         # small letters are what the tokenizer makes of capitals; names of special tokens keep theirs
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        new = list(set().union(*split).difference(self))
+        words: list[bytes] = []
+        ends = []
+        for text in texts:
+            words += (text if b"<|" in text else text.lower()).split()
+            ends.append(len(words))
+        found = list(map(self.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if gaps:
+            self.learn(list({words[i] for i in gaps}))
+            for i in gaps:
+                found[i] = self[words[i]]
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def learn(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in new], add_special_tokens=False
+            [word.decode() for word in words], add_special_tokens=False
         )
         ids = [x.ids for x in found]
         packed = self.pack([y for x in ids for y in x])
         ends = np.cumsum([self.type.itemsize * len(x) for x in ids]).tolist()
-        self.update(zip(new, [packed[a:b] for a, b in zip([0, *ends], ends)]))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        self.update(zip(words, [packed[a:b] for a, b in zip([0, *ends], ends)]))
 
 
 _tokenizers: dict[str, WordIds] = {}
