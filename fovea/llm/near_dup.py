@@ -6,11 +6,13 @@ by k. Bands of equal coordinates give buckets; the threshold fixes how many coor
 pair at the threshold is missed with probability 1e-7 at most.
 
 Texts with equal shingle sets are one class, of which the smallest id goes on. In each bucket every member
-is compared with one leader, first with the leader that most of its buckets agree on, then with the others.
-Links found so far give components; what is left are pairs that share a bucket and lie in different components, and
-all of these are compared, so no link between components is lost, while members that are
-connected already are never paired. Links are confirmed on the full sets of shingles, taken from the
-texts. Components come from repeated contraction to the smallest neighbour. What a join meets on a key
+is compared with one leader, the text whose buckets are largest in total: the original among its copies. First each
+member meets its most central leader, then the others of other components. What may still be missed are
+links between components that share a bucket. For those, exact prefix filtering over the members of such buckets takes the
+place of pairs: two sets that are similar enough share one of their rarest shingles, early enough in both.
+So a group of copies is never paired with itself, and no link that a bucket shows is lost. Links are
+confirmed on the full sets of shingles, taken from the texts. Components come from repeated
+contraction to the smallest neighbour. What a join meets on a key
 that may be hot is written first: two shuffled tables let Spark split the hot key.
 
 Defined cases: texts that are null, empty or without words have no shingles and no links; with fewer words
@@ -169,24 +171,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of (a, b) can reach, roots not listed.
 
     Each round links every larger neighbour of a node to its smallest one, then every node and its smaller
-    neighbours to the smallest of them; it ends when the edges stay as they are, as stars.
+    neighbours to the smallest of them; it ends when the edges are stars.
     """
-
-    def state(rows: DataFrame) -> tuple:
-        found = rows.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return tuple(found)
-
     # a is the smaller end throughout
     edges = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
     edges = materialize(edges.distinct(), "edges")
-    seen = state(edges)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = materialize(least.select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b")
-        large = materialize(large.where("a < b").distinct(), "edges")
-        lower = materialize(large.groupBy("b").agg(F.min("a").alias("m")), "least")
+        large = large.where("a < b").distinct()
+        lower = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(lower, "b").select(
             F.inline(
                 F.array(
@@ -196,10 +192,59 @@ def components(edges: DataFrame) -> DataFrame:
             )
         )
         edges = materialize(small.where("a < b").distinct(), "edges")
-        now = state(edges)
-        if now == seen:
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        seen = now
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node is either a root or linked to one root and to nothing else."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("node").agg(F.max("up").alias("up"), F.sum("down").alias("down"))
+    return nodes.where("down > 1 or down = 1 and up = 1").isEmpty()
+
+
+def similar_prefixes(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): pairs of (doc_id, root) with different roots that can be similar enough, by their prefixes.
+
+    Shingles are put in one order for all texts, rarest first. If two sets share `percent` of their union,
+    their first common shingle is among the first n - ceil(n * percent / 100) + 1 of either, and enough
+    others follow it in both.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(x or "", words).view(np.int64) for x in batch.column("text").to_pylist()]
+            hashes = pa.array(sets, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("root"), hashes], ["doc_id", "root", "hashes"]
+            )
+
+    schema = "doc_id bigint, root bigint, hashes array<bigint>"
+    sets = rows.join(texts, "doc_id").select("doc_id", "root", "text").mapInArrow(run, schema)
+    # a text is told apart by its shingles too: an id may have several
+    sets = materialize(sets.withColumn("set", F.xxhash64("hashes")), "sets")
+    spread = sets.select("doc_id", "root", "set", F.size("hashes").alias("n"), F.explode("hashes").alias("s"))
+    often = spread.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    often = materialize(often, "frequencies")
+    ranked = (
+        spread.join(often, "s", "left")
+        .groupBy("doc_id", "root", "set", "n")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "s"))).alias("all"))
+    )
+    first = F.slice("all", 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    prefixes = ranked.select("doc_id", "root", "n", F.posexplode(first).alias("at", "shingle"))
+    # a shingle of one text alone has no one to meet
+    prefixes = prefixes.where("shingle.df > 1").select("doc_id", "root", "n", "at", F.col("shingle.s").alias("s"))
+    prefixes = materialize(prefixes, "prefixes")
+    other = prefixes.select(
+        "s", F.col("doc_id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("m"),
+        F.col("at").alias("at_b"),
+    )
+    most = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at_b"))
+    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("m"))
+    meet = (prefixes["s"] == other["s"]) & (F.col("doc_id") < F.col("b")) & (F.col("root") != F.col("root_b"))
+    return prefixes.join(other, meet & enough).select(F.col("doc_id").alias("a"), "b").distinct()
 
 
 def _labelled(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -219,64 +264,56 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     usable = signed.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(usable.groupBy("class").agg(F.min("doc_id").alias("first")), "classes")
     ones = usable.join(classes, "class")
-    same = ones.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-
     firsts = ones.where("doc_id = first").dropDuplicates(["class"])
     banded = firsts.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    order = F.xxhash64("doc_id", "band")
-    buckets = banded.groupBy("band", "key").agg(
-        F.count("*").alias("n"), F.min("doc_id").alias("least"), F.min_by("doc_id", order).alias("leader")
+    buckets = banded.groupBy("band", "key").agg(F.count("*").alias("size"))
+    buckets = materialize(buckets.where("size > 1"), "buckets")
+    members = materialize(
+        banded.join(buckets, ["band", "key"]).select("band", "key", "doc_id", "n_shingles", "size"), "members"
+    )
+    # the larger a text's buckets, the more copies it is an original of
+    weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    weighed = members.join(weights, "doc_id").withColumn("by", F.struct("weight", -F.col("doc_id")))
+    leaders = weighed.groupBy("band", "key").agg(
+        F.max_by("doc_id", "by").alias("leader"), F.max("by").alias("by")
     )
-    buckets = materialize(buckets.where("n > 1").drop("n"), "buckets")
     members = materialize(
-        banded.join(buckets, ["band", "key"]).select(
-            "band", "key", "doc_id", "n_shingles", "least", "leader"
-        ),
-        "members",
+        members.join(materialize(leaders, "leaders"), ["band", "key"]).drop("size"), "members"
     )
     texts = materialize(
         docs.select("doc_id", "text").join(members.select("doc_id").distinct(), "doc_id", "left_semi"),
         "candidate-texts",
     )
+    led = members.where("doc_id <> leader")
+    pair = (F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"))
 
-    def pair(leader: str) -> DataFrame:
-        rows = members.where(F.col("doc_id") != F.col(leader))
-        return rows.select(
-            F.least("doc_id", leader).alias("a"), F.greatest("doc_id", leader).alias("b")
-        ).distinct()
-
-    main = (
-        members.where("doc_id <> least").groupBy("doc_id").agg(F.min("least").alias("a"))
-        .select("a", F.col("doc_id").alias("b"))
-    )
+    main = led.groupBy("doc_id").agg(F.max_by("leader", "by").alias("leader")).select(*pair).distinct()
     tried = materialize(main, "pairs")
     links = materialize(confirm(tried, texts, words, percent), "links")
     roots = components(links)
-    others = pair("least").unionByName(pair("leader")).distinct().join(tried, ["a", "b"], "left_anti")
+    others = led.select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
     second = materialize(_apart(others, roots), "pairs")
     more = materialize(confirm(second, texts, words, percent), "links")
-    tried = tried.unionByName(second)
     roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more))
 
-    placed = materialize(_labelled(members.drop("least", "leader"), roots, "doc_id", "root"), "members")
-    kinds = placed.select("band", "key", "root").distinct()
-    crossing = kinds.join(
-        kinds.withColumnRenamed("root", "other"), ["band", "key"]
-    ).where("root < other")
-    one = placed.select("band", "key", "root", F.col("doc_id").alias("x"), F.col("n_shingles").alias("n"))
-    two = placed.select(
-        "band", "key", F.col("root").alias("other"), F.col("doc_id").alias("y"),
-        F.col("n_shingles").alias("m"),
-    )
-    rest = (
-        crossing.join(one, ["band", "key", "root"]).join(two, ["band", "key", "other"])
-        .where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
+    placed = _labelled(members.select("band", "key", "doc_id"), roots, "doc_id", "root")
+    placed = materialize(placed, "members")
+    mixed = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = materialize(mixed.where("low <> high").drop("low", "high"), "buckets")
+    open_ones = materialize(
+        placed.join(mixed, ["band", "key"]).select("doc_id", "root").distinct(), "open"
+    )
+    rest = similar_prefixes(open_ones, texts, words, percent)
+    rest = rest.join(tried.unionByName(second), ["a", "b"], "left_anti")
     last = materialize(confirm(materialize(rest, "pairs"), texts, words, percent), "links")
+    # an id with several texts joins their classes
+    firsts_of = ones.groupBy("doc_id").agg(F.min("first").alias("a"), F.max("first").alias("z"))
+    several = materialize(firsts_of.where("a <> z").drop("z"), "several")
+    shared = ones.select("doc_id", F.col("first").alias("b")).join(several, "doc_id").select("a", "b")
     found = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    roots = components(found.unionByName(last).unionByName(same))
-    rows = _labelled(signed.select("doc_id", "n_shingles"), roots, "doc_id", "component_id")
+    roots = components(found.unionByName(last).unionByName(shared))
+    rows = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class"))
+    rows = rows.join(classes, "class", "left").withColumn("first", F.coalesce("first", "doc_id"))
+    rows = _labelled(rows, roots, "first", "component_id")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     return rows.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
