@@ -4,7 +4,9 @@ The patterns give labelled credentials. For each kind (and for ordinary strings
 a sample of them becomes a prefix tree with counts; states whose onward frequencies do not differ
 significantly (Hoeffding bound) are merged, which leaves a small probabilistic automaton. Every other string
 that could be a credential is then scored: by how much more likely its format is under the best
-credential automaton than under that of ordinary strings.
+credential automaton than under that of ordinary strings. Strings that a credential automaton explains
+about as well as the ordinary one are kept off the ordinary side, or a format of many unlabelled
+credentials would count as ordinary.
 
 The automata are fitted on the driver from at most `per_kind` strings of each kind, those with the least
 hash; finding and scoring covers all of every text.
@@ -44,6 +46,8 @@ PER_KIND = 1_000
 LONGEST_LEARNED = 128
 #: Natural logarithm of how much likelier a credential's format must be than an ordinary one's.
 LEAST_RATIO = 8.0
+#: A string is not ordinary if its ratio is above this, and one in a hundred labelled ones is explained worse.
+DOUBTFUL_RATIO, DOUBTFUL_SHARE = -3.0, 0.01
 CLASSES = str.maketrans(
     {chr(c): k for k, low, high in (("0", 48, 57), ("A", 65, 90), ("a", 97, 102), ("g", 103, 122))
      for c in range(low, high + 1)}
@@ -196,6 +200,33 @@ class Formats:
         return [x for x in scored if x[2] >= least]
 
 
+def infer_ordinary(strings: list[str], kinds: dict[str, Automaton], labelled: dict[str, list[str]]) -> Automaton:
+    """Automaton of the strings that do not look like credentials.
+
+    One looks like a credential if an automaton of `kinds` explains it as well per symbol as its own
+    `labelled` strings, and not much worse than the ordinary automaton does. Without those the ordinary
+    one is inferred again, until none is left.
+    """
+
+    def per_symbol(kind: str, string: str) -> float:
+        return kinds[kind].log_likelihood(string) / (len(string) + 1)
+
+    least = {}
+    for kind, known in labelled.items():
+        explained = sorted(per_symbol(kind, x) for x in known)
+        least[kind] = explained[int(len(explained) * DOUBTFUL_SHARE)]
+    explained = {
+        x: max((kinds[k].log_likelihood(x) for k in kinds if per_symbol(k, x) >= least[k]), default=-math.inf)
+        for x in strings
+    }
+    while True:
+        ordinary = infer(strings)
+        left = [x for x in strings if explained[x] - ordinary.log_likelihood(x) < DOUBTFUL_RATIO]
+        if len(left) == len(strings):
+            return ordinary
+        strings = left
+
+
 FOUND = (
     "array<struct<start: int, kind: int, end: int, value: string>>",
     "array<struct<start: int, end: int, value: string>>",
@@ -238,12 +269,14 @@ def _sample(strings: DataFrame, per_kind: int) -> list[str]:
 def learn(found: DataFrame, per_kind: int = PER_KIND) -> Formats:
     """Automata from extracted rows (see `extract`)."""
     base = found.select(F.inline("base"))
-    kinds = {}
+    labelled = {}
     for k, name in enumerate(KINDS):
         strings = _sample(base.where(F.col("kind") == k), per_kind)
         if strings:
-            kinds[name] = infer(strings)
-    return Formats(kinds, infer(_sample(found.select(F.inline("candidates")), per_kind)))
+            labelled[name] = strings
+    kinds = {name: infer(strings) for name, strings in labelled.items()}
+    others = _sample(found.select(F.inline("candidates")), per_kind)
+    return Formats(kinds, infer_ordinary(others, kinds, labelled))
 
 
 def score(found: DataFrame, formats: Formats, least: float = LEAST_RATIO) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -196,6 +197,25 @@ def test_automata_tell_formats_apart():
     assert secret_scan.Formats({}, formats.ordinary).ratio("sk-1234") == -math.inf
 
 
+@pytest.mark.parametrize("share", [0.01, 0.1, 1 / 3])
+def test_frequent_unlabelled_formats_are_secrets(spark, tmp_path, share):
+    """Bare credentials are found whatever share of the candidates they make up, and ordinary strings are not."""
+    rng = np.random.default_rng(8)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    letters = string.ascii_letters + string.digits
+    key = lambda: draw(letters, 32)
+    ordinary = [draw(string.digits, 16) for _ in range(450)]
+    ordinary += [f"{draw('etaoinshrdlu', 9)}-{draw('etaoinshrdlu', 6)}-{k}.html" for k in range(450)]
+    bare = [key() for _ in range(round(900 * share / (1 - share)))]
+    rows = [(k, f"token={key()}") for k in range(300)]
+    rows += [(1_000 + k, x) for k, x in enumerate(ordinary)] + [(2_000 + k, x) for k, x in enumerate(bare)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spans = {r["doc_id"]: r["spans"] for r in queries.op4_secrets(spark, str(tmp_path)).collect()}
+    assert np.mean([spans[2_000 + k] == "format:0:32" for k in range(len(bare))]) >= 0.95
+    assert np.mean([spans[1_000 + k] != "" for k in range(len(ordinary))]) <= 0.01
+
+
 def test_candidates_keep_off_base_spans():
     text = "password=abcdef0123456789 abcdef0123456789-0"
     base = secret_scan.base_spans(text)
