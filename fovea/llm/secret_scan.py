@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import statistics
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,14 +41,16 @@ LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 KEYWORDS = ("passw", "secret", "token", "api")
 
 #: A string of this alphabet and length may be a credential, given a digit in it.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+LEAST_CANDIDATE = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST_CANDIDATE)
+MARKS = "+/_.=-"
 DIGIT = re.compile(r"[0-9]")
 PER_KIND = 1_000
 LONGEST_LEARNED = 128
 #: Natural logarithm of how much likelier a credential's format must be than an ordinary one's.
 LEAST_RATIO = 8.0
-#: A string is not ordinary if its ratio is above this, and one in a hundred labelled ones is explained worse.
-DOUBTFUL_RATIO, DOUBTFUL_SHARE = -3.0, 0.01
+#: A string is not ordinary from this ratio on, unless it is explained worse than labelled ones by so many deviations.
+DOUBTFUL_RATIO, DOUBTFUL_DEVIATIONS = -3.0, 4.0
 CLASSES = str.maketrans(
     {chr(c): k for k, low, high in (("0", 48, 57), ("A", 65, 90), ("a", 97, 102), ("g", 103, 122))
      for c in range(low, high + 1)}
@@ -72,19 +75,30 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, string) of possible credentials that no base span touches."""
+    """(start, end, string) of possible credentials: what the base spans leave of runs of the alphabet.
+
+    Where a span is cut out of a run, one mark next to it separates the two and belongs to neither.
+    """
     out = []
     spans = sorted((s, e) for s, _, e, _ in base)
     k = 0
     reach = -1
+
+    def add(start: int, end: int, cut_before: bool, cut_after: bool) -> None:
+        start += cut_before and start < end and text[start] in MARKS
+        end -= cut_after and start < end and text[end - 1] in MARKS
+        if end - start >= LEAST_CANDIDATE and DIGIT.search(text, start, end):
+            out.append((start, end, text[start:end]))
+
     for m in CANDIDATE.finditer(text):
-        if not DIGIT.search(m[0]):
-            continue
-        while k < len(spans) and spans[k][0] < m.end():
+        start, end = m.span()
+        at, cut = max(start, reach), reach > start
+        while k < len(spans) and spans[k][0] < end:
+            add(at, spans[k][0], cut, True)
             reach = max(reach, spans[k][1])
+            at, cut = max(at, reach), cut or reach > start
             k += 1
-        if reach <= m.start():
-            out.append((m.start(), m.end(), m[0]))
+        add(at, end, cut, False)
     return out
 
 
@@ -213,8 +227,8 @@ def infer_ordinary(strings: list[str], kinds: dict[str, Automaton], labelled: di
 
     least = {}
     for kind, known in labelled.items():
-        explained = sorted(per_symbol(kind, x) for x in known)
-        least[kind] = explained[int(len(explained) * DOUBTFUL_SHARE)]
+        usual = [per_symbol(kind, x) for x in known]
+        least[kind] = statistics.fmean(usual) - DOUBTFUL_DEVIATIONS * statistics.pstdev(usual)
     explained = {
         x: max((kinds[k].log_likelihood(x) for k in kinds if per_symbol(k, x) >= least[k]), default=-math.inf)
         for x in strings
