@@ -43,9 +43,10 @@ def with_vectors(
 
 
 def feature_width(df: DataFrame, features_col: str) -> int:
-    """Width of the feature arrays, as of one that is present."""
+    """The most frequent width of the feature arrays; empty ones count last, of equals the larger."""
     present = df.where(F.col(features_col).isNotNull())
-    row = present.select(F.size(features_col).alias("n")).first()
+    sizes = present.groupBy(F.size(features_col).alias("n")).agg(F.count("*").alias("rows"))
+    row = sizes.orderBy(F.desc(F.col("n") > 0), F.desc("rows"), F.desc("n")).first()
     if row is None:
         raise ValueError("no rows to take the feature width from")
     return row["n"]
@@ -56,7 +57,7 @@ def split_features(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows that can enter a fit, the other ones with `reject_reason`).
 
-    Without `width`, that of any one row that has features is asked for.
+    Without `width`, the most frequent one is asked for.
     """
     if width is None:
         width = feature_width(df, features_col)

@@ -5,6 +5,7 @@ Results are in long form (no arrays or vectors) and rounded, so that they can be
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 import numpy as np
@@ -37,6 +38,13 @@ def rounded(value: Column | str, digits: int = 4) -> Column:
     return F.round(column.cast("double"), digits) + F.lit(0.0)
 
 
+def report_rejects(rejects: DataFrame) -> None:
+    """Warn how many rows a query whose result has no place for them leaves out, by reason."""
+    counts = sorted((r["reject_reason"], r["count"]) for r in rejects.groupBy("reject_reason").count().collect())
+    if counts:
+        warnings.warn("rows rejected: " + ", ".join(f"{n} {why}" for why, n in counts), stacklevel=3)
+
+
 def long_form(
     df: DataFrame, keys: list[str], array: Column, index: str, start: int = 0
 ) -> DataFrame:
@@ -480,9 +488,10 @@ def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squared length of every full projection, which a rotation must not change."""
     embeddings = table(spark, sf_dir, "embeddings")
-    reduced, _, _ = reduce_features(
+    reduced, rejects, _ = reduce_features(
         embeddings, ["vec_id"], "embedding", threshold=2.0, if_never="all"
     )
+    report_rejects(rejects)
     squares = F.transform(vector_to_array("features_std_pca"), lambda v: v * v)
     norm = F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v)
     return reduced.select("vec_id", rounded(norm).alias("squared_length"))
@@ -518,7 +527,8 @@ def scree_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings scaled and reduced to the components that hold 99 % of the variance."""
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    reduced, rejects, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    report_rejects(rejects)
     reduced = reduced.withColumn("k", F.lit(fitted.k))
     return long_form(
         reduced, ["vec_id", "class", "k"], vector_to_array("features_std_pca"), "component", 1
@@ -531,7 +541,8 @@ def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     Those need only the first and the last eigenvector, which SQL can get by squaring matrices.
     """
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    reduced, rejects, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
+    report_rejects(rejects)
     values = vector_to_array("features_std_pca")
     return reduced.select("vec_id", "class", values.alias("v")).select(
         "vec_id",

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fovea.operators import reduce
+from fovea.plans import catalogue
 from fovea.plans.feature_table import reduce_features
 
 
@@ -222,6 +223,26 @@ def test_unusable_features_are_rejected_with_reasons(spark, sample):
     assert np.allclose(matrix(table, "features_std_pca"), matrix(clean, "features_std_pca"))
 
 
+def test_width_is_the_most_frequent_one(spark):
+    rows = [(0, [1.0, 2.0])] + [(k, [float(k), 2.0, 3.0]) for k in range(1, 5)] + [(k, []) for k in range(5, 15)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "id int, features array<double>").coalesce(1)
+        usable, rejects = reduce.split_features(df)
+        assert {r["id"] for r in usable.collect()} == {1, 2, 3, 4}
+        assert {r["id"] for r in rejects.collect()} == {0, *range(5, 15)}
+
+
+@pytest.mark.parametrize("name", ["feature_table", "feature_table_ends", "pca_norms"])
+def test_queries_report_rejects(spark, sf_dir, tmp_path, name):
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").limit(200).coalesce(1)
+    ragged = F.when(F.col("vec_id") % 50 == 0, F.slice("embedding", 1, 5)).otherwise(F.col("embedding"))
+    embeddings.withColumn("embedding", ragged).write.parquet(f"{tmp_path}/embeddings.parquet")
+    odd = embeddings.where("vec_id % 50 = 0").count()
+    with pytest.warns(UserWarning, match=f"rows rejected: {odd} wrong width"):
+        found = catalogue.QUERIES[name](spark, str(tmp_path))
+    assert found.select("vec_id").distinct().count() == 200 - odd > 0
+
+
 def test_model_survives_saving(spark, sample, tmp_path):
     df = frame(spark, sample)
     fitted = reduce.fit_reduction(df, output_col="r", threshold=0.9)
