@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fovea.llm import (
-    bpe, fingerprints, line_dedup, near_dup, packing, quality, secret_scan, sharding, topk, url_trust,
+    bpe, centroids, fingerprints, importance, line_dedup, near_dup, packing, quality, secret_scan, sharding,
+    token_files, topk, url_trust,
 )
 from fovea.llm.common import table, tokenizer_path
+from fovea.session import shared_dir
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,11 +90,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
+    rows = token_files.read_documents(spark, path)
+    return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(*centroids.cluster(vectors))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality, op2_line_dedup, op3_imatch, op4_secrets, op5_url_trust, op6_near_dup, op7_topk,
-        op8_packing, op9_sharding, op10_bpe,
+        op8_packing, op9_sharding, op10_bpe, op11_importance, op12_token_files, op13_centroids,
     )
 }
 
@@ -285,9 +303,121 @@ def url_trust_sql(
     """
 
 
+def importance_sql(
+    percent: int = importance.DRAWN_PERCENT,
+    least_words: int = importance.LEAST_WORDS,
+    buckets: int = importance.BUCKETS,
+    seed: int = importance.SEED,
+) -> str:
+    """CRC-32 byte by byte, for each different word once; features are single words."""
+    return f"""
+    WITH steps AS (
+      -- the register is put before eight turns, as the first element of what is folded
+      SELECT list(r ORDER BY b) AS step FROM (
+        SELECT b, list_reduce([b] || range(0, 8)::BIGINT[],
+          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r
+        FROM (SELECT unnest(range(0, 256))::BIGINT AS b)
+      )
+    ),
+    corpus AS (
+      SELECT 'document' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+      UNION ALL SELECT 'benchmark', item_id, coalesce(text, '') FROM benchmark
+    ),
+    split AS (
+      SELECT side, id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+      FROM corpus
+    ),
+    spread AS (SELECT side, id, unnest(words) AS word FROM split),
+    hashed AS (
+      SELECT word, xor(list_reduce(
+        [4294967295::BIGINT] || list_transform(range(1, strlen(word) + 1),
+          lambda i: ('0x' || substr(hex(word), 2 * i - 1, 2))::BIGINT),
+        lambda c, x: xor((c // 256), step[(xor(c, x) & 255) + 1])), 4294967295) % {buckets} AS bucket
+      FROM (SELECT DISTINCT word FROM spread), steps
+    ),
+    features AS (SELECT side, id, bucket FROM spread JOIN hashed USING (word)),
+    counts AS (
+      SELECT bucket, sum((side = 'document')::BIGINT) AS s, sum((side = 'benchmark')::BIGINT) AS t
+      FROM features GROUP BY bucket
+    ),
+    gains AS (
+      SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + {buckets})::DOUBLE
+        / ((s + 1)::DOUBLE * (all_t + {buckets})::DOUBLE)))::BIGINT AS gain
+      FROM counts, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts)
+    ),
+    weights AS (
+      SELECT id, sum(gain)::BIGINT AS weight FROM features JOIN gains USING (bucket)
+      WHERE side = 'document' GROUP BY id
+    ),
+    scored AS (
+      SELECT id AS doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+               (('0x' || substr(sha256('{seed}:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE
+             ))))::BIGINT AS score
+      FROM split LEFT JOIN weights USING (id) WHERE side = 'document'
+    ),
+    placed AS (
+      SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+      FROM scored WHERE n_features >= {least_words}
+    )
+    SELECT s.doc_id, n_features, weight, score,
+           (CASE WHEN place <= {percent} * n // 100 THEN place END)::BIGINT AS rank
+    FROM scored s LEFT JOIN placed USING (doc_id)
+    """
+
+
+def centroids_sql(
+    clusters: int = centroids.CLUSTERS,
+    rounds: int = centroids.ROUNDS,
+    width: int = centroids.WIDTH,
+    scale: int = centroids.SCALE,
+    seed: int = centroids.SEED,
+) -> str:
+    """One pair of common table expressions for each round."""
+    distance = f"list_sum(list_transform(range(1, {width + 1}), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))"
+    parts = []
+    for k in range(rounds + 1):
+        parts.append(
+            f"""near{k} AS MATERIALIZED (
+      SELECT vec_id, any_value(v) AS v, arg_min(c, d * {clusters} + c) AS c, min(d)::BIGINT AS d FROM (
+        SELECT x.vec_id, x.v, c.c, {distance} AS d FROM vectors x, cents{k} c
+      ) GROUP BY vec_id)"""
+        )
+        if k < rounds:
+            parts.append(
+                f"""cents{k + 1} AS MATERIALIZED (
+      SELECT o.c, coalesce(m.v, o.v) AS v FROM cents{k} o LEFT JOIN (
+        SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+          SELECT c, i, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n
+          FROM (SELECT c, unnest(v) AS e, unnest(range(1, {width + 1})) AS i FROM near{k}) GROUP BY c, i
+        ) GROUP BY c) m ON m.c = o.c)"""
+            )
+    return f"""
+    WITH vectors AS MATERIALIZED (
+      SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+      FROM embeddings
+      WHERE len(embedding) = {width}
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    cents0 AS MATERIALIZED (
+      SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1)::INTEGER AS c, v FROM vectors
+      QUALIFY c < {clusters}
+    ),
+    {", ".join(parts)}
+    SELECT vec_id, n.c AS cluster, d AS distance,
+           (sum(d) OVER (PARTITION BY n.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(e.v, ',')) AS centroid_sha256
+    FROM near{rounds} n JOIN cents{rounds} e ON e.c = n.c
+    """
+
+
 ORACLES: dict[str, str] = {
     "op2_line_dedup": line_dedup_sql(),
     "op5_url_trust": url_trust_sql(),
     "op6_near_dup": near_dup_sql(),
     "op7_topk": topk_sql(),
+    "op11_importance": importance_sql(),
+    "op13_centroids": centroids_sql(),
 }

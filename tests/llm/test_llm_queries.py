@@ -17,4 +17,4 @@ def test_query_is_its_sql(name, spark, sf_dir):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(spark_entry.queries())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
