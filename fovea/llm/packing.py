@@ -15,79 +15,23 @@ packed as often as they occur; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fovea.llm.common import materialize, prepare, row_slices, running_offsets, whole_text
+from fovea.llm.words import LowerWords, word_table
 
 WINDOW = 4096
 END_ID = 2
-#: Distinct words kept with their ids in a worker; beyond that the table starts anew.
-CACHED_WORDS = 800_000
-SLICE_BYTES = 1 << 20
-
-
-class WordIds(dict):
-    """Ids of white-space separated words as packed integers, from a tokenizer that drops white space.
-
-    Such a tokenizer never joins characters across ASCII white space, so the ids of a text are those
-    of its words, one after the other.
-    """
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def pack(self, ids) -> bytes:
-        return np.asarray(ids, self.type).tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of each text."""
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        # small letters are what the tokenizer makes of capitals; names of special tokens keep theirs
-        words: list[bytes] = []
-        ends = []
-        for text in texts:
-            words += (text if b"<|" in text else text.lower()).split()
-            ends.append(len(words))
-        found = list(map(self.get, words))
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        if gaps:
-            self.learn(list({words[i] for i in gaps}))
-            for i in gaps:
-                found[i] = self[words[i]]
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
-
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast(
-            [word.decode() for word in words], add_special_tokens=False
-        )
-        ids = [x.ids for x in found]
-        packed = self.pack([y for x in ids for y in x])
-        ends = np.cumsum([self.type.itemsize * len(x) for x in ids]).tolist()
-        self.update(zip(words, [packed[a:b] for a, b in zip([0, *ends], ends)]))
-
-
-_tokenizers: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordIds(path)
-    return _tokenizers[path]
+#: Bytes of text that are cut into words at a time, and ids that are cut into pieces.
+TEXT_BYTES = 1 << 22
+SLICE_IDS = 1 << 20
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -95,13 +39,13 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(tokenizer)
+        words = word_table(LowerWords, tokenizer)
         end = words.pack([end_id])
         task, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for low, high in row_slices(map(len, texts), SLICE_BYTES):
-                ids = [x + end for x in words.encode(texts[low:high])]
+            texts = batch.column("text")
+            for low, high in row_slices(pc.binary_length(texts).to_pylist(), TEXT_BYTES):
+                ids = [x + end for x in words.encode(texts.slice(low, high - low))]
                 n = np.array([len(x) for x in ids], np.int64) // words.type.itemsize
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -128,7 +72,7 @@ def cut(tokens: DataFrame, width: int, window: int) -> DataFrame:
             place = batch.column("place").to_numpy()
             n = batch.column("n").to_numpy()
             pieces = (place + n - 1) // window - place // window + 1
-            for low, high in row_slices(n.tolist(), SLICE_BYTES):
+            for low, high in row_slices(n.tolist(), SLICE_IDS):
                 row = np.repeat(np.arange(low, high), pieces[low:high])
                 first = np.cumsum(pieces[low:high]) - pieces[low:high]
                 sequence = place[row] // window + np.arange(len(row)) - first[row - low]
