@@ -11,9 +11,9 @@ document is a block of its own. A document's bits begin at a full byte. `checkpo
 every 256th id of a document begins, so a block is decoded without any other one, and from any checkpoint.
 
 Writing: texts are encoded by the tokenizers library and staged; the counts of ids are added up over all tasks and
-give code lengths by package-merge, at most `LONGEST` bits; each document's ids become bits before
-they are shuffled, once, by ranges of doc_id; each task of the sorted rows joins them to blocks, and the
-tasks' totals give every shard its place. Spark's own writer commits the files, so lost executors leave
+give code lengths by package-merge, at most `LONGEST` bits; the ids are shuffled once, by ranges of doc_id; each
+task of the sorted rows makes them bits and joins these to blocks, and the tasks' totals give every shard
+its place. Spark's own writer commits the files, so lost executors leave
 none behind. Decoding is driven by a table of all bit strings of the longest length: one lookup gives an
 id and how far to go on; the runs from all checkpoints of a batch go on side by side.
 
@@ -200,44 +200,22 @@ def id_counts(tokens: DataFrame, size: int, width: int) -> DataFrame:
     return tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-ENCODED = "doc_id bigint, n bigint, bits binary, checkpoints array<bigint>"
 BLOCK = (
     "shard bigint, number bigint, before bigint, n bigint, doc_ids array<bigint>, sizes array<bigint>, "
     "bits binary, checkpoints array<bigint>"
 )
+_numbers = pa.list_(pa.int64())
+BLOCK_KINDS = [pa.int64()] * 4 + [_numbers] * 2 + [pa.binary(), _numbers]
+BLOCK_NAMES = [field.split()[0] for field in BLOCK.split(", ")]
 
 
-def encoded(tokens: DataFrame, lengths: np.ndarray, width: int) -> DataFrame:
-    """Each document's bits and checkpoints."""
+def to_blocks(tokens: DataFrame, lengths: np.ndarray, width: int, block_ids: int) -> DataFrame:
+    """Documents of sorted rows as bits, joined to blocks that are counted in their task."""
     prepare(tokens.sparkSession)
     shared = tokens.sparkSession.sparkContext.broadcast(lengths.astype(np.uint8))  # a byte per id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(shared.value)
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            for low, high in row_slices(n.tolist(), SLICE_IDS):
-                packed = batch.column("ids").slice(low, high - low).to_pylist()
-                ids = np.frombuffer(b"".join(packed), f"<u{width}")
-                bits, marks = code.encode(ids, n[low:high])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(low, high - low),
-                        pa.array(n[low:high]),
-                        pa.array(bits, pa.binary()),
-                        pa.array(marks, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "n", "bits", "checkpoints"],
-                )
-
-    return tokens.select("doc_id", "n", "ids").mapInArrow(run, ENCODED)
-
-
-def to_blocks(rows: DataFrame, block_ids: int) -> DataFrame:
-    """Documents of sorted rows joined to blocks, which are counted in their task."""
-    prepare(rows.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, sizes, bits, marks, total, begin = [], [], [], [], 0, 0
 
@@ -245,28 +223,29 @@ def to_blocks(rows: DataFrame, block_ids: int) -> DataFrame:
             values = [
                 shard, number, before, total, doc_ids, sizes, b"".join(bits), np.concatenate(marks)
             ]
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2 + [pa.binary(), pa.list_(pa.int64())]
-            names = [field.split()[0] for field in BLOCK.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, BLOCK_KINDS)], BLOCK_NAMES)
 
         for batch in batches:
-            lists = batch.column("checkpoints")
-            flat, edges = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths()))
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "n", "bits"))
-            for doc_id, n, part, mark in zip(*columns, np.split(flat, edges[1:-1])):
-                if sizes and total + n > block_ids:
-                    yield block()
-                    number, before = number + 1, before + total
-                    doc_ids, sizes, bits, marks, total, begin = [], [], [], [], 0, 0
-                doc_ids.append(doc_id)
-                sizes.append(n)
-                bits.append(part)
-                marks.append(mark + 8 * begin)
-                total, begin = total + n, begin + len(part)
+            counts = batch.column("n").to_numpy()
+            for low, high in row_slices(counts.tolist(), SLICE_IDS):
+                packed = batch.column("ids").slice(low, high - low).to_pylist()
+                ids = np.frombuffer(b"".join(packed), f"<u{width}")
+                names = batch.column("doc_id").slice(low, high - low).to_pylist()
+                found = zip(names, counts[low:high].tolist(), *code.encode(ids, counts[low:high]))
+                for doc_id, n, part, mark in found:
+                    if sizes and total + n > block_ids:
+                        yield block()
+                        number, before = number + 1, before + total
+                        doc_ids, sizes, bits, marks, total, begin = [], [], [], [], 0, 0
+                    doc_ids.append(doc_id)
+                    sizes.append(n)
+                    bits.append(part)
+                    marks.append(mark + 8 * begin)
+                    total, begin = total + n, begin + len(part)
         if sizes:
             yield block()
 
-    return rows.mapInArrow(run, BLOCK)
+    return tokens.select("doc_id", "n", "ids").mapInArrow(run, BLOCK)
 
 
 def write_tokens(
@@ -289,10 +268,10 @@ def write_tokens(
     used = [(i, n) for i, n in enumerate(lengths.tolist()) if n]
     spark.createDataFrame(used, "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
     # rows of one id are told apart by where the staged table has them
-    rows = encoded(tokens, lengths, width).withColumn("_row", F.monotonically_increasing_id())
     order = [F.asc_nulls_first("doc_id"), F.asc("_row")]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_row")
-    to_blocks(rows, block_ids).write.parquet(f"{path}/blocks")
+    rows = tokens.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    to_blocks(rows, lengths, width, block_ids).write.parquet(f"{path}/blocks")
     blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     totals = blocks.groupBy("shard").agg(F.sum("n").alias("total"))
     running_offsets(totals, "shard", "total").select("shard", F.col("offset").alias("first")).coalesce(

@@ -23,12 +23,31 @@ import regex
 
 from fovea.llm.bpe import WORDS, byte_symbols
 
-#: Words and parts kept with their ids in a worker; beyond that a table starts anew.
-CACHED_WORDS = 600_000
+#: Words and parts that a generation of a worker's tables holds.
+CACHED_WORDS, CACHED_PARTS = 500_000, 350_000
 #: Parts that are encoded in one text, and words that are cut at a time.
 JOINED, CUT_AT_ONCE = 500, 20_000
 
 
+class Generations:
+    """A table of bounded size: what was not asked for while a generation filled up is forgotten with the next."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.new, self.old = {}, {}
+
+    def turn(self) -> None:
+        if len(self.new) > self.most:
+            self.new, self.old = {}, self.new
+
+    def missing(self, keys: set) -> set:
+        """Keys of neither generation; those of the old one are taken over."""
+        gone = keys.difference(self.new)
+        back = gone.intersection(self.old)
+        self.new.update(zip(back, map(self.old.__getitem__, back)))
+        return gone - back
+
+
 class WordTable:
     """Ids of words as packed integers; what is shared by both kinds of vocabularies."""
 
@@ -45,8 +64,8 @@ class WordTable:
         self.vocabulary = self.library.get_vocab()
         self.size = max(self.vocabulary.values()) + 1
         self.type = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words = Generations(CACHED_WORDS)
+        self.parts = Generations(CACHED_PARTS)
 
     def pack(self, ids) -> bytes:
         return np.asarray(ids, self.type).tobytes()
@@ -57,9 +76,8 @@ class WordTable:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Packed ids of each text; `texts` are strings without nulls, a few MB of them."""
-        for table in (self.words, self.parts):
-            if len(table) > CACHED_WORDS:
-                table.clear()
+        self.words.turn()
+        self.parts.turn()
         aside = self.aside(texts)
         if aside.any():
             kept = pa.array(~aside)
@@ -75,12 +93,10 @@ class WordTable:
         coded = pieces.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self.words.get, words))
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        if gaps:
-            self.learn([words[i] for i in gaps])
-            for i in gaps:
-                found[i] = self.words[words[i]]
+        new = self.words.missing(set(words))
+        if new:
+            self.learn(list(new))
+        found = list(map(self.words.new.__getitem__, words))
         flat = np.frombuffer(b"".join(found), self.type)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.type.itemsize
         first = np.cumsum(sizes) - sizes
@@ -97,8 +113,7 @@ class WordTable:
         """Encode parts joined by the bare tokenizer's delimiter; ids that open or close a part are known."""
         for low in range(0, len(parts), JOINED * 100):
             some = parts[low : low + JOINED * 100]
-            signs = list(map(self.signs, some))
-            texts = [self.delimiter.join(signs[k : k + JOINED]) for k in range(0, len(signs), JOINED)]
+            texts = [self.signs(some[k : k + JOINED]) for k in range(0, len(some), JOINED)]
             found = self.bare.encode_batch_fast(texts, add_special_tokens=False)
             ids = np.concatenate([np.array(x.ids, self.type) for x in found])
             if opens is not None:
@@ -106,22 +121,21 @@ class WordTable:
             else:
                 edges = np.append(0, np.nonzero(closes[ids])[0] + 1)
             packed, edges = ids.tobytes(), (edges * self.type.itemsize).tolist()
-            self.parts.update(zip(some, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
+            self.parts.new.update(zip(some, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
 
     def join_parts(self, words: list[bytes], parts: list[str]) -> None:
         """Ids of words from all their parts in a row, in which a line feed ends each word."""
-        ids = list(map(self.parts.__getitem__, parts))
+        ids = list(map(self.parts.new.__getitem__, parts))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         ends = np.cumsum(sizes)
         stop = np.fromiter((part == "\n" for part in parts), bool, len(parts))
         packed, edges = b"".join(ids), [0, *ends[stop].tolist()]
-        self.words.update(zip(words, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
+        self.words.new.update(zip(words, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
 
 
 class LowerWords(WordTable):
     """Vocabularies that know neither white space nor capitals and mark the last symbol of a part."""
 
-    delimiter = " "
     #: The pattern of this family, and what it is for small printable ASCII, line by line.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     ASCII_PARTS = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\na-z0-9]+")
@@ -139,11 +153,10 @@ class LowerWords(WordTable):
         self.by_part = self.by_word and all(x + suffix in self.vocabulary for x in printable)
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for name, i in self.vocabulary.items() if suffix and name.endswith(suffix)]] = True
-        self.parts["\n"] = b""
 
     @staticmethod
-    def signs(part: str) -> str:
-        return part
+    def signs(parts: list[str]) -> str:
+        return " ".join(parts)
 
     def aside(self, texts: pa.Array) -> np.ndarray:
         """Texts that may hold the name of a special token, whose letters must stay as they are."""
@@ -163,14 +176,14 @@ class LowerWords(WordTable):
         else:
             other = [word for word in words if not plain(word)]
             words = [word for word in words if plain(word)]
-        self.parts.setdefault("\n", b"")
+        self.parts.new["\n"] = b""
         for low in range(0, len(words), CUT_AT_ONCE):
             some = words[low : low + CUT_AT_ONCE]
             parts = self.ASCII_PARTS.findall(b"\n".join([*some, b""]).decode())
-            self.ids_of_parts(list(set(parts).difference(self.parts)), None, self.closes)
+            self.ids_of_parts(list(self.parts.missing(set(parts))), None, self.closes)
             self.join_parts(some, parts)
         found = self.library.encode_batch_fast([x.decode() for x in other], add_special_tokens=False)
-        self.words.update((word, self.pack(x.ids)) for word, x in zip(other, found))
+        self.words.new.update((word, self.pack(x.ids)) for word, x in zip(other, found))
 
 
 class ByteWords(WordTable):
@@ -180,7 +193,6 @@ class ByteWords(WordTable):
     Words that begin their text, and those that begin with a line feed, are told apart by marks.
     """
 
-    delimiter = "\0"
     FIRST, FEED = b"\xff", b"\xfe"
     AWKWARD = (
         r"[\t-\r ][\t-\r ](?:[\t-\r ]|$)|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -190,7 +202,9 @@ class ByteWords(WordTable):
         super().__init__(path)
         from tokenizers import pre_tokenizers
 
-        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(self.delimiter)
+        symbols = byte_symbols()
+        # parts are joined by a zero byte, which none of those that are joined holds
+        self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(symbols[0])
         cut, model = self.spec["pre_tokenizer"] or {}, self.spec["model"]
         self.by_word = (
             cut.get("type") == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
@@ -198,14 +212,15 @@ class ByteWords(WordTable):
             and not model["end_of_word_suffix"] and not model["continuing_subword_prefix"]
         )
         self.special = [x["content"] for x in self.spec["added_tokens"]]
-        symbols = byte_symbols()
-        self.symbols = dict(enumerate(symbols))
+        self.symbols = np.array([ord(x) for x in symbols], "<u2")
         self.opens = np.zeros(self.size, bool)
         self.opens[[i for name, i in self.vocabulary.items() if name.startswith(symbols[32])]] = True
         self.pattern = regex.compile(WORDS).findall
 
-    def signs(self, part: str) -> str:
-        return part.encode().decode("latin-1").translate(self.symbols)
+    def signs(self, parts: list[str]) -> str:
+        """Parts as the vocabulary's printable signs of their bytes, joined."""
+        raw = np.frombuffer("\0".join(parts).encode(), np.uint8)
+        return self.symbols[raw].tobytes().decode("utf-16-le")
 
     def aside(self, texts: pa.Array) -> np.ndarray:
         if not self.by_word:
@@ -220,7 +235,7 @@ class ByteWords(WordTable):
             return self.whole(text)
         parts = self.pattern(text.decode())
         self.learn_parts(parts)
-        return b"".join(map(self.parts.__getitem__, parts))
+        return b"".join(map(self.parts.new.__getitem__, parts))
 
     def cut(self, texts: pa.Array) -> pa.ListArray:
         marked = pc.binary_join_element_wise(self.FIRST, texts.cast(pa.binary()), b"")
@@ -236,24 +251,25 @@ class ByteWords(WordTable):
         texts = [lead[w[:1]] + w[1:] if w[:1] in lead else b" " + w for w in odd]
         cut = [self.pattern(text.replace(self.FEED, b"\n").decode()) for text in texts]
         self.learn_parts([part for parts in cut for part in parts])
-        get = self.parts.__getitem__
-        self.words.update((word, b"".join(map(get, parts))) for word, parts in zip(odd, cut))
+        get = self.parts.new.__getitem__
+        self.words.new.update((word, b"".join(map(get, parts))) for word, parts in zip(odd, cut))
         for low in range(0, len(plain), CUT_AT_ONCE):
             some = plain[low : low + CUT_AT_ONCE]
             # a line feed before a word's space is a part of its own, here of no ids
             parts = self.pattern(b" ".join([b"", b"\n ".join(some)]).decode() + "\n")
             self.learn_parts(parts)
-            feed, self.parts["\n"] = self.parts["\n"], b""
+            feed, self.parts.new["\n"] = self.parts.new["\n"], b""
             self.join_parts(some, parts)
-            self.parts["\n"] = feed
+            self.parts.new["\n"] = feed
 
     def learn_parts(self, parts: list[str]) -> None:
-        new = set(parts).difference(self.parts)
-        joined = [x for x in new if x[0] == " " and not x.isspace()]
-        self.ids_of_parts(joined, self.opens, None)
-        single = [x for x in new if x[0] != " " or x.isspace()]
-        found = self.bare.encode_batch_fast(list(map(self.signs, single)), add_special_tokens=False)
-        self.parts.update((part, self.pack(x.ids)) for part, x in zip(single, found))
+        new = self.parts.missing(set(parts))
+        single = [x for x in new if x[0] != " " or "\0" in x or x.isspace()]
+        self.ids_of_parts(list(new.difference(single)), self.opens, None)
+        rest = [x for x in single if "\0" not in x]
+        found = self.bare.encode_batch_fast([self.signs([x]) for x in rest], add_special_tokens=False)
+        self.parts.new.update((part, self.pack(x.ids)) for part, x in zip(rest, found))
+        self.parts.new.update((x, self.whole(x.encode())) for x in single if "\0" in x)
 
 
 _loaded: dict[tuple[type, str], WordTable] = {}
