@@ -76,6 +76,10 @@ def flatten_tensor(nested: ColumnOrName, levels: int = 1) -> Column:
     return flat
 
 
+#: What `feature_reject_reason` may say.
+FEATURE_REJECTS = ("missing", "wrong width", "not finite")
+
+
 def feature_reject_reason(features: ColumnOrName, width: int) -> Column:
     """Why a feature array cannot enter a fit, or NULL if it can."""
     values = as_column(features)
@@ -83,9 +87,9 @@ def feature_reject_reason(features: ColumnOrName, width: int) -> Column:
         values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
     )
     return (
-        F.when(values.isNull(), F.lit("missing"))
-        .when(F.size(values) != width, F.lit("wrong width"))
-        .when(bad, F.lit("not finite"))
+        F.when(values.isNull(), F.lit(FEATURE_REJECTS[0]))
+        .when(F.size(values) != width, F.lit(FEATURE_REJECTS[1]))
+        .when(bad, F.lit(FEATURE_REJECTS[2]))
     )
 
 

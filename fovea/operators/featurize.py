@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,9 @@ Model = Callable[[np.ndarray], np.ndarray]
 # Groups that the tasks of a report are merged in.
 MERGED = 64
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Bytes of raw files that are decoded and scored together.
+BATCH_BYTES = 64 << 20
 
 # Models that a worker keeps; the one unused for longest goes.
 KEPT_MODELS = 4
@@ -42,6 +46,37 @@ def set_batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set(ARROW_ROWS, str(rows))
 
 
+def set_batch_bytes(spark: SparkSession, size: int) -> None:
+    """Bound the bytes per Arrow batch of the whole session; a single larger record is a batch of its own."""
+    spark.conf.set(ARROW_BYTES, str(size))
+
+
+def batch_bounds(sizes: np.ndarray, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """Consecutive (begin, end) of at most `rows` records and `size` bytes; a larger record stands alone."""
+    begin = total = 0
+    for at, own in enumerate(sizes.tolist()):
+        if at > begin and (at - begin >= rows or total + own > size):
+            yield begin, at
+            begin, total = at, 0
+        total += own
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def _bytes_of(batch: pa.Array) -> np.ndarray:
+    """Bytes of each record's content; 0 where it is NULL or has a fixed size."""
+    if pa.types.is_struct(batch.type):  # a decoded image
+        names = [field.name for field in batch.type if _has_bytes(field.type)]
+        return sum((_bytes_of(batch.field(name)) for name in names), np.zeros(len(batch), np.int64))
+    if not _has_bytes(batch.type):
+        return np.zeros(len(batch), np.int64)
+    return pc.binary_length(batch).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _has_bytes(kind: pa.DataType) -> bool:
+    return pa.types.is_binary(kind) or pa.types.is_large_binary(kind) or pa.types.is_string(kind)
+
+
 def _feature_column(features: list[np.ndarray], good: np.ndarray, kind: pa.DataType) -> pa.Array:
     """One list per input row: the next feature vector where `good`, else NULL."""
     values = np.concatenate(features) if features else np.empty((0, 0))
@@ -56,6 +91,7 @@ def feature_udf(
     stack: Stacker,
     batch_rows: int = 1024,
     element: str = "float",
+    batch_bytes: int = BATCH_BYTES,
 ):
     """Arrow UDF from an input column to struct(features, reason).
 
@@ -69,8 +105,8 @@ def feature_udf(
         model = _load_once(key, model_factory)
         for batch in batches:
             features, reasons = [], []
-            for start in range(0, len(batch), batch_rows):
-                tensor, refused = stack(batch.slice(start, batch_rows))
+            for start, end in batch_bounds(_bytes_of(batch), batch_rows, batch_bytes):
+                tensor, refused = stack(batch.slice(start, end - start))
                 reasons.extend(refused)
                 if len(tensor):
                     output = np.asarray(model(tensor))
@@ -97,6 +133,7 @@ def featurize(
     partitions: int | None = None,
     partition_key: str | None = None,
     element: str = "float",
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """`keep` columns plus the feature array and, where there is none, the reason.
 
@@ -105,13 +142,14 @@ def featurize(
     is filtered afterwards, so filter by path or class before. `partitions` spreads the input
     first. That shuffles the raw input, so leave it out where the scan already has enough tasks;
     with a unique `partition_key` the spread needs no sort to be repeatable. Arrow batches are cut to
-    `batch_rows`; how many rows the session sends at a time is `set_batch_rows`.
+    `batch_rows` records and `batch_bytes` of their contents, whichever comes first; what the session sends
+    at a time is set by `set_batch_rows` and `set_batch_bytes`.
     """
     ship_package(df.sparkSession)
     rows = df.select(*keep, input_col) if input_col not in keep else df.select(*keep)
     if partitions:
         rows = rows.repartition(partitions, *([partition_key] if partition_key else []))
-    apply = feature_udf(model_factory, stack, batch_rows, element)
+    apply = feature_udf(model_factory, stack, batch_rows, element, batch_bytes)
     return rows.select(*keep, apply(input_col).alias("_result")).select(
         *keep,
         F.col("_result.features").alias(output_col),
@@ -178,3 +216,27 @@ def pooling_report(df: DataFrame, tensor_col: str, channels: int) -> DataFrame:
         F.max("max").alias("max"),
         F.avg(F.sqrt(F.col("squares") / (F.col("n") - 1))).alias("mean_dim_stddev"),
     )
+
+
+def pooling_quantiles(
+    df: DataFrame,
+    tensor_col: str,
+    channels: int,
+    quantiles: tuple[float, ...] = (0.25, 0.5, 0.75),
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """(pooling, dim, quantile, value): quantiles of each pooled dimension over the whole table, both poolings.
+
+    Tasks send a sketch of about `accuracy` values per dimension; the rank of a value is off by at most
+    1 / `accuracy` of the rows, and exact for fewer rows than that.
+    """
+    pooled = F.array(
+        *[F.struct(F.lit(how).alias("pooling"), global_pool(tensor_col, channels, how).alias("values"))
+          for how in ("max", "avg")]
+    )
+    flat = df.select(F.inline(pooled)).select("pooling", F.posexplode("values").alias("dim", "value"))
+    sketch = F.percentile_approx("value", list(quantiles), accuracy).alias("found")
+    found = flat.groupBy("pooling", "dim").agg(sketch)
+    asked = F.array(*map(F.lit, quantiles))
+    pairs = F.arrays_zip(asked.alias("quantile"), F.col("found").alias("value"))
+    return found.select("pooling", "dim", F.inline(pairs).alias("quantile", "value"))

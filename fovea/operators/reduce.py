@@ -222,11 +222,13 @@ def _sign_stage(model: PCAModel, k: int, input_col: str, output_col: str) -> Ele
 
 @dataclass
 class Reduction:
-    """A fitted reduction: transformer, chosen number of components, explained-variance curve."""
+    """A fitted reduction: transformer, chosen number of components, explained-variance curve, and how many
+    rows could not enter the fit, by reason, where they were counted."""
 
     model: PipelineModel
     k: int
     scree: DataFrame
+    rejected: dict[str, int] | None = None
 
 
 def fit_reduction(

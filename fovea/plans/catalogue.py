@@ -14,15 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fovea.functions import paths, tensors
-from fovea.operators import inspect, reduce
+from fovea.operators import inspect, low_rank, reduce
 from fovea.operators.backends import linear_model, pooling_model
-from fovea.operators.featurize import featurize, pooling_report, split_rejects
+from fovea.operators.featurize import featurize, pooling_quantiles, pooling_report, split_rejects
 from fovea.operators.images import decode_bitmap, file_stack, image_stack, tensor_stack
 from fovea.operators.moments import feature_moments
 from fovea.plans.feature_table import build_feature_table, reduce_features
-from fovea.plans.staging import SHAPE, staged_files
-from fovea.session import shared_dir
-from fovea.sources import files, object_store, sinks
+from fovea.plans.staging import SHAPE, file_rows, staged_files
+from fovea.session import shared_dir, stage
+from fovea.sources import files, manifest, object_store, sinks, versions
 from fovea.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,11 +38,10 @@ def rounded(value: Column | str, digits: int = 4) -> Column:
     return F.round(column.cast("double"), digits) + F.lit(0.0)
 
 
-def report_rejects(rejects: DataFrame) -> None:
+def report_rejects(counts: dict[str, int]) -> None:
     """Warn how many rows a query whose result has no place for them leaves out, by reason."""
-    counts = sorted((r["reject_reason"], r["count"]) for r in rejects.groupBy("reject_reason").count().collect())
     if counts:
-        warnings.warn("rows rejected: " + ", ".join(f"{n} {why}" for why, n in counts), stacklevel=3)
+        warnings.warn("rows rejected: " + ", ".join(f"{n} {why}" for why, n in sorted(counts.items())), stacklevel=3)
 
 
 def long_form(
@@ -119,6 +118,28 @@ def pack_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pack_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come in two lots, packed after each one and once more, by the call that packed them."""
+    root, out = shared_dir(spark, "arriving"), shared_dir(spark, "packed")
+    # one file a label and lot: what is tested is which files are read, not how many there are
+    rows = file_rows(spark, sf_dir).withColumn("lot", F.pmod(F.crc32("value"), F.lit(2)))
+    lines = rows.groupBy("label", "lot").agg(F.count("*").cast("string").alias("value"))
+    lines = stage(lines, "lots")
+    counts = []
+    for lot in (0, 1, None):
+        if lot is not None:
+            some = lines.where(F.col("lot") == lot).select("label", "value")
+            some.repartition("label").write.mode("append").partitionBy("label").text(root)
+        counts.append(manifest.pack_changed(spark, root, out))
+    packed = manifest.read_current(spark, out).select(
+        "class", F.regexp_replace(F.decode("content", "UTF-8"), r"\s", "").cast("bigint").alias("n_rows")
+    )
+    calls = spark.createDataFrame(list(enumerate(counts, 1)), "call int, packed int")
+    totals = packed.groupBy("class").agg(F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"))
+    calls = calls.select(F.concat(F.lit("call "), "call").alias("class"), F.col("packed").cast("bigint").alias("n_files"))
+    return totals.unionByName(calls.withColumn("n_rows", F.lit(None).cast("bigint")))
+
+
 def store_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names and lengths of the settings of one user's store, and its address.
 
@@ -147,6 +168,61 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.select(F.col("User name").alias("user_name"), "c_custkey", "c_mktsegment")
 
 
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as delimited lines of which some are spoilt: what is read and what is not, with the reason."""
+    folder = shared_dir(spark, "csv")
+    kind = F.col("c_custkey") % 7
+    line = F.concat_ws(
+        ";",
+        F.concat(F.when(kind == 1, "x").otherwise(""), F.col("c_custkey").cast("string")),
+        F.concat(F.lit('"'), "c_name", F.lit('; of"')),
+        F.when(kind != 2, F.col("c_mktsegment")),
+        F.when(kind == 3, F.lit("more")),
+    )
+    table(spark, sf_dir, "customer").select(line).write.text(folder)
+    schema = "c_custkey bigint, c_name string, c_mktsegment string"
+    rows, rejects = files.read_delimited_checked(spark, folder, schema, sep=";", header=False)
+    read = rows.select("c_custkey", "c_name", "c_mktsegment", F.lit(None).cast("string").alias("line"),
+                       F.lit(None).cast("string").alias("reject_reason"))
+    empty = [F.lit(None).cast(t).alias(c) for c, t in (("c_custkey", "bigint"), ("c_name", "string"), ("c_mktsegment", "string"))]
+    return read.unionByName(rejects.select(*empty, "line", "reject_reason"))
+
+
+def mount_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written below one mounted name and read below another one that leads to the same store."""
+    store = shared_dir(spark, "store")
+    if "://" not in store and not store.startswith("file:"):
+        store = f"file://{store}"
+    name = "orders-" + store.rsplit("-", 1)[-1]
+    object_store.use_store(spark, object_store.mount_settings(name, {"in": store, "out": store}))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sinks.write_table(orders, object_store.mount_uri(name, "in", "orders"), partition_by="o_orderstatus")
+    found = files.read_class_tree(spark, object_store.mount_uri(name, "out"), "*.parquet")
+    mounted = found.where(F.col("path").startswith(object_store.mount_uri(name, "out"))).count() == found.count()
+    read = spark.read.schema(orders.schema).parquet(object_store.mount_uri(name, "out", "orders"))
+    return read.withColumn("mounted", F.lit(mounted))
+
+
+def sink_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders replaced once, and once more by a write that fails: what the table holds now and before."""
+    folder = shared_dir(spark, "versions")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    versions.write_version(orders, folder)
+    versions.write_version(versions.read_version(spark, folder).where("o_orderstatus = 'F'"), folder, base=1)
+    spoilt = orders.withColumn(
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 2 == 0, F.raise_error(F.lit("spoilt"))).otherwise(F.col("o_orderstatus")),
+    )
+    try:
+        versions.write_version(spoilt, folder)
+        raise AssertionError("a write that fails was committed")
+    except Exception as error:
+        if "spoilt" not in str(error):
+            raise
+    now, before = versions.read_version(spark, folder), versions.read_version(spark, folder, 1)
+    return now.withColumn("which", F.lit("now")).unionByName(before.withColumn("which", F.lit("before")))
+
+
 def sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "sink")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -271,6 +347,26 @@ def pooling_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("pooling", *[rounded(c).alias(c) for c in report.columns[1:]])
 
 
+def pooling_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pooling_quantiles(table(spark, sf_dir, "embeddings"), "embedding", 4)
+    return found.select("pooling", "dim", rounded("quantile", 2).alias("quantile"), rounded("value", 6).alias("value"))
+
+
+def featurize_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as records of very different sizes, in batches of 64 KB: bytes and spaces of each."""
+
+    def measure(batch):
+        found = [(len(x), x.count(b" ")) if x is not None else (0, 0) for x in batch.to_pylist()]
+        return np.array(found, np.float64).reshape(-1, 2), [None] * len(batch)
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    features = featurize(
+        docs, lambda: lambda tensor: tensor, measure, "content", ["doc_id"], element="double", batch_bytes=1 << 16
+    )
+    numbers = [F.col("features")[i].cast("bigint").alias(c) for i, c in enumerate(("size", "spaces"))]
+    return features.select("doc_id", *numbers)
+
+
 def _featurize_linear(**options) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         features = featurize(
@@ -488,10 +584,10 @@ def pca_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pca_norms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squared length of every full projection, which a rotation must not change."""
     embeddings = table(spark, sf_dir, "embeddings")
-    reduced, rejects, _ = reduce_features(
-        embeddings, ["vec_id"], "embedding", threshold=2.0, if_never="all"
+    reduced, _, fitted = reduce_features(
+        embeddings, ["vec_id"], "embedding", width=64, threshold=2.0, if_never="all"
     )
-    report_rejects(rejects)
+    report_rejects(fitted.rejected)
     squares = F.transform(vector_to_array("features_std_pca"), lambda v: v * v)
     norm = F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v)
     return reduced.select("vec_id", rounded(norm).alias("squared_length"))
@@ -521,14 +617,41 @@ def scree_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def falling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings whose dimensions weigh less and less, as those of real features do."""
+    weighed = F.transform("embedding", lambda x, i: x.cast("double") * (4.0 / (i + 1)))
+    return stage(table(spark, sf_dir, "embeddings").select("vec_id", weighed.alias("features")), "falling")
+
+
+def pca_low_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first six axes without the covariance matrix; SQL has the exact ones."""
+    fit = low_rank.principal_axes(falling(spark, sf_dir), "features", rank=6)
+    names = ("variance", "explained_variance", "cumulative")
+    return fit.scree(spark).select("component", *[rounded(c, 6).alias(c) for c in names])
+
+
+def pca_low_rank_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors, standardized, on the first four axes found without the covariance matrix."""
+    rows = falling(spark, sf_dir)
+    mixed = rows.select(
+        "vec_id",
+        # sums of neighbours, so that standardized dimensions still have axes that stand out
+        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.aggregate(
+            F.slice("features", 1, i + 1), F.lit(0.0), lambda a, x: a + x)).alias("features"),
+    )
+    mixed = stage(mixed, "mixed")
+    fit = low_rank.principal_axes(mixed, "features", rank=4, standardize=True, tolerance=1e-9)
+    return long_form(low_rank.project(mixed, fit, "features"), ["vec_id"], F.col("features_pca"), "component", 1)
+
+
 # --- the whole way
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings scaled and reduced to the components that hold 99 % of the variance."""
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, rejects, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
-    report_rejects(rejects)
+    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding", width=64)
+    report_rejects(fitted.rejected)
     reduced = reduced.withColumn("k", F.lit(fitted.k))
     return long_form(
         reduced, ["vec_id", "class", "k"], vector_to_array("features_std_pca"), "component", 1
@@ -541,8 +664,8 @@ def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     Those need only the first and the last eigenvector, which SQL can get by squaring matrices.
     """
     labelled = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "class")
-    reduced, rejects, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding")
-    report_rejects(rejects)
+    reduced, _, fitted = reduce_features(labelled, ["vec_id", "class"], "embedding", width=64)
+    report_rejects(fitted.rejected)
     values = vector_to_array("features_std_pca")
     return reduced.select("vec_id", "class", values.alias("v")).select(
         "vec_id",
@@ -553,6 +676,32 @@ def feature_table_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feature_table_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images that the model sees in a run, in a second one that takes up the first one's features, and in one
+    with another parameter."""
+    scan = files.read_binary(spark, f"{staged_files(spark, sf_dir)}/label=1")
+    named = shared_dir(spark, "run")  # so that features of an earlier session are not taken up
+    rows = []
+    for run, scale in (("first", 1.0), ("second", 1.0), ("other scale", 2.0)):
+        seen = spark.sparkContext.accumulator(0)
+
+        def factory(scale: float = scale, seen=seen):
+            matrix = scale * weights(192, 2)
+
+            def model(tensor: np.ndarray) -> np.ndarray:
+                seen.add(len(tensor))
+                return tensor.reshape(len(tensor), -1) @ matrix
+
+            return model
+
+        result, _, _ = build_feature_table(
+            scan, factory, file_stack(decode_bitmap, SHAPE, dtype=np.float64), width=2, element="double",
+            identity={"model": "weights", "scale": scale, "run": named}, reduction={"k": 2},
+        )
+        rows.append((run, result.count(), seen.value))
+    return spark.createDataFrame(rows, "run string, n_rows bigint, n_inferred bigint")
+
+
 def feature_table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From files to the written feature table, with two features so that SQL can follow."""
     scan = files.read_class_tree(spark, staged_files(spark, sf_dir)).withColumn(
@@ -596,10 +745,14 @@ QUERIES: dict[str, Query] = {
     "dataset_inventory": dataset_inventory,
     "page_inventory": page_inventory,
     "pack_files": pack_files,
+    "pack_changed": pack_changed,
     "store_settings": store_settings,
     "csv_scan": csv_scan,
+    "csv_rejects": csv_rejects,
+    "mount_scan": mount_scan,
     "sink_overwrite": sink_overwrite,
     "sink_partitioned": sink_partitioned,
+    "sink_versions": sink_versions,
     "project": project,
     "filter_eq": filter_eq,
     "scalar_lookup": scalar_lookup,
@@ -617,8 +770,10 @@ QUERIES: dict[str, Query] = {
     "featurize_max_pool": _featurize_pool("max"),
     "featurize_avg_pool": _featurize_pool("avg"),
     "pooling_report": pooling_comparison,
+    "pooling_quartiles": pooling_quartiles,
     "featurize_linear": _featurize_linear(),
     "featurize_spread": _featurize_linear(batch_rows=64, partitions=4, partition_key="vec_id"),
+    "featurize_bytes": featurize_bytes,
     "featurize_files": featurize_files,
     "featurize_images": featurize_images,
     "shape_validate": shape_validate,
@@ -640,8 +795,11 @@ QUERIES: dict[str, Query] = {
     "pca_norms": pca_norms,
     "reduce_rejects": reduce_rejects,
     "scree_embeddings": scree_embeddings,
+    "pca_low_rank": pca_low_rank,
+    "pca_low_rank_projection": pca_low_rank_projection,
     "feature_table": feature_table,
     "feature_table_ends": feature_table_ends,
     "feature_table_files": feature_table_files,
+    "feature_table_resumed": feature_table_resumed,
     "stream_scores": stream_scores,
 }

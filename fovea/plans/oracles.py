@@ -206,12 +206,36 @@ SELECT class, (54 + 192 + 1)::BIGINT AS length,
 FROM images
 UNION ALL
 SELECT 'label=page', (strlen(html) + 1)::BIGINT, md5(html || chr(10)) FROM pages""",
+    "pack_changed": f"""
+WITH {PIXELS},
+rows AS (
+  SELECT split_part(class, '=', 2) AS label, class FROM images
+  UNION ALL SELECT 'page', 'label=page' FROM pages),
+totals AS (SELECT class, count(*) AS n_rows FROM rows GROUP BY class)
+SELECT class, 2::BIGINT AS n_files, n_rows FROM totals
+UNION ALL SELECT 'call ' || call, CASE call WHEN 3 THEN 0 ELSE (SELECT count(*) FROM totals) END, NULL
+FROM (SELECT unnest([1, 2, 3]) AS call)""",
     "store_settings": """
 WITH first AS (SELECT * FROM customer ORDER BY c_custkey LIMIT 1)
 SELECT 'fs.s3a.bucket.pictures.access.key' AS setting, 'KEY' || c_custkey AS value FROM first
 UNION ALL SELECT 'fs.s3a.bucket.pictures.secret.key', c_mktsegment FROM first
 UNION ALL SELECT 'uri', 's3a://pictures/training'""",
     "csv_scan": "SELECT c_name AS user_name, c_custkey, c_mktsegment FROM customer",
+    "csv_rejects": """
+WITH lines AS (
+  SELECT *, c_custkey % 7 AS kind, concat_ws(';', CASE c_custkey % 7 WHEN 1 THEN 'x' ELSE '' END || c_custkey,
+    '"' || c_name || '; of"', CASE WHEN c_custkey % 7 <> 2 THEN c_mktsegment END,
+    CASE WHEN c_custkey % 7 = 3 THEN 'more' END) AS line
+  FROM customer)
+SELECT c_custkey, c_name || '; of' AS c_name, c_mktsegment, NULL AS line, NULL AS reject_reason
+FROM lines WHERE kind NOT IN (1, 2, 3)
+UNION ALL SELECT NULL, NULL, NULL, line,
+       CASE kind WHEN 1 THEN 'not of its type: c_custkey' WHEN 2 THEN 'too few fields' ELSE 'too many fields' END
+FROM lines WHERE kind IN (1, 2, 3)""",
+    "mount_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, true AS mounted FROM orders",
+    "sink_versions": """
+SELECT o_orderkey, o_orderstatus, 'before' AS which FROM orders
+UNION ALL SELECT o_orderkey, o_orderstatus, 'now' FROM orders WHERE o_orderstatus = 'F'""",
     "sink_overwrite": ORDERS,
     "sink_partitioned": ORDERS,
     "project": "SELECT doc_id, lang, source FROM documents",
@@ -275,6 +299,22 @@ WITH {ELEMENTS}
 SELECT vec_id, j::INTEGER AS dim,
        round(greatest(sum(v * ((7 * d + 3 * j) % 5 - 2)), 0), 4) + 0.0 AS value
 FROM elements, range(8) outputs(j) GROUP BY vec_id, j""",
+    "pooling_quartiles": f"""
+WITH {ELEMENTS},
+pooled AS (
+  SELECT vec_id, d % 4 AS channel, max(v) AS max_value, avg(v) AS avg_value
+  FROM elements GROUP BY vec_id, d % 4),
+long AS (
+  SELECT 'max' AS pooling, channel, max_value AS v FROM pooled
+  UNION ALL SELECT 'avg', channel, avg_value FROM pooled),
+placed AS (
+  SELECT pooling, channel, v, row_number() OVER (PARTITION BY pooling, channel ORDER BY v) AS place,
+         count(*) OVER (PARTITION BY pooling, channel) AS n FROM long)
+SELECT pooling, channel::INTEGER AS dim, q AS quantile, round(v, 6) + 0.0 AS value
+FROM placed, (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS q) WHERE place = ceil(q * n)""",
+    "featurize_bytes": """
+SELECT doc_id, strlen(text)::BIGINT AS size, (strlen(text) - strlen(replace(text, ' ', '')))::BIGINT AS spaces
+FROM documents""",
     "featurize_files": _image_features(FILE_BYTES),
     "featurize_images": _image_features("unhex(shown_hex)"),
     "shape_validate": """
@@ -353,6 +393,25 @@ WITH RECURSIVE {ELEMENTS},
 {_principal_axes("SELECT x.d AS i, y.d AS j, covar_samp(x.v, y.v) AS m FROM elements x JOIN elements y USING (vec_id) GROUP BY x.d, y.d")}
 SELECT component, round(share, 6) + 0.0 AS explained_variance, round(cumulative, 6) + 0.0 AS cumulative
 FROM variances""",
+    "pca_low_rank": f"""
+WITH RECURSIVE {ELEMENTS},
+falling AS MATERIALIZED (SELECT vec_id, d, v * (4.0::DOUBLE / (d + 1)) AS x FROM elements),
+{_principal_axes("SELECT x.d AS i, y.d AS j, covar_samp(x.x, y.x) AS m FROM falling x JOIN falling y USING (vec_id) GROUP BY x.d, y.d")},
+whole AS (SELECT sum(m) AS total FROM matrix WHERE i = j)
+SELECT component, round(share * total, 6) + 0.0 AS variance, round(share, 6) + 0.0 AS explained_variance,
+       round(cumulative, 6) + 0.0 AS cumulative
+FROM variances, whole WHERE component <= 6""",
+    "pca_low_rank_projection": f"""
+WITH RECURSIVE {ELEMENTS},
+mixed AS (
+  SELECT vec_id, d, sum(v * (4.0::DOUBLE / (d + 1))) OVER (PARTITION BY vec_id ORDER BY d) AS x FROM elements),
+scaled AS MATERIALIZED (
+  SELECT vec_id, d, x / s AS x
+  FROM mixed JOIN (SELECT d, stddev_samp(x) AS s FROM mixed GROUP BY d) USING (d)),
+{_principal_axes("SELECT x.d AS i, y.d AS j, corr(x.x, y.x) AS m FROM scaled x JOIN scaled y USING (vec_id) GROUP BY x.d, y.d")}
+SELECT vec_id, component, round(sum(x * u), 4) + 0.0 AS value
+FROM scaled JOIN axes USING (d) JOIN variances USING (j)
+WHERE component <= 4 GROUP BY vec_id, component""",
     "feature_table": f"""
 WITH RECURSIVE {ELEMENTS},
 scaled AS MATERIALIZED (
@@ -411,6 +470,9 @@ SELECT class, md5({FILE_BYTES}) AS image_key, component,
              / sqrt(2), 4) + 0.0 AS value
 FROM features JOIN images USING (vec_id), stats, (SELECT unnest([1, 2])::INTEGER AS component)
 WHERE component = 1 OR (1 + abs(r)) / 2 < 0.99""",
+    "feature_table_resumed": """
+SELECT run, count(*) AS n_rows, CASE run WHEN 'second' THEN 0 ELSE count(*) END AS n_inferred
+FROM embeddings, (SELECT unnest(['first', 'second', 'other scale']) AS run) WHERE label = 1 GROUP BY run""",
     "stream_scores": f"""
 SELECT p.* FROM ({_projection(2)}) p, (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem)
 WHERE component = 1 OR (1 + abs(r)) / 2 < 0.99""",

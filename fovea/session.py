@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import uuid
 import zipfile
 
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
@@ -22,6 +25,7 @@ def build_session(app_name: str = "fovea", master: str | None = None, **conf: st
         "spark.ui.enabled": "false",
         # rows that go to a Python worker at a time; records of images are large
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         # a scan task takes about a thousand small files
         "spark.sql.files.openCostInBytes": "128k",
         **{key.replace("__", "."): value for key, value in conf.items()},
@@ -34,15 +38,26 @@ def build_session(app_name: str = "fovea", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The folder the cluster shares: `spark.checkpoint.dir`.
+
+    Where that is unset, a session in one process takes a folder in its warehouse; on a cluster that may be a
+    local folder of the driver, so there it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fovea-scratch"
+    return base.rstrip("/")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder name under the folder the cluster shares.
 
-    That is `spark.checkpoint.dir`; where it is unset, a folder in the warehouse, which a cluster
-    shares as well. `clear_shared` deletes what was written under these names.
+    `clear_shared` deletes what was written under these names.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fovea-scratch"
-    folder = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared_base(spark)}/{purpose}-{uuid.uuid4().hex}"
     _shared.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return folder
 
@@ -71,6 +86,33 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def finished_stage(df: DataFrame, purpose: str, identity: dict) -> tuple[DataFrame, bool]:
+    """`df` staged under a name made of `identity`, and whether an earlier run had finished it already.
+
+    `identity` holds whatever the result depends on, as values that JSON can hold: versions and parameters
+    of the steps, and a fingerprint of the input (`input_fingerprint`). A stage that a lost driver left
+    unfinished is written anew. Such stages outlive the application and are not deleted by `clear_shared`.
+    """
+    text = json.dumps({"schema": df.schema.jsonValue(), **identity}, sort_keys=True)
+    path = f"{shared_base(df.sparkSession)}/stages/{purpose}-{hashlib.sha256(text.encode()).hexdigest()[:32]}"
+    marker = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    system = marker.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    found = system.exists(marker)
+    if not found:
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), found
+
+
+def input_fingerprint(df: DataFrame, columns: list[str]) -> str:
+    """Number of rows and sum of their hashes over `columns`, whatever the order of the rows.
+
+    For files, take path, length and modificationTime: no contents are read.
+    """
+    total = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    row = df.agg(F.count("*").alias("n"), F.coalesce(total, F.lit(0)).cast("string").alias("total")).first()
+    return f"{row['n']}:{row['total']}"
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per SparkContext."""
     context = spark.sparkContext

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fovea.functions.paths import class_from_path, path_segments, plain_path
+from fovea.session import stage
 
 # Schema of Spark's binaryFile source; a stream over it has to name it.
 BINARY_SCHEMA = T.StructType(
@@ -116,13 +117,58 @@ def read_delimited(
     sep: str = ",",
     header: bool = True,
 ) -> DataFrame:
-    """Delimited text; without a schema every column is a string named by the header."""
+    """Delimited text; without a schema every column is a string named by the header.
+
+    Values that do not fit the schema become NULL; `read_delimited_checked` tells such lines apart.
+    """
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def read_delimited_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    sep: str = ",",
+    header: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of delimited text: every line is in one of them.
+
+    Rejects are (path, line, reject_reason): lines of too few or too many fields, or with a value that is
+    not of its column's type. The text is parsed once, with all columns, into a staged table: a reader
+    that skips columns nobody asks for would not see what is wrong with them.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    corrupt = "_corrupt"
+    while corrupt in schema.names:
+        corrupt += "_"
+    reader = spark.read.option("header", str(header).lower()).option("sep", sep)
+    reader = reader.option("columnNameOfCorruptRecord", corrupt).option("mode", "PERMISSIVE")
+    scan = reader.schema(T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])).csv(path)
+    source = F.col("_metadata.file_path").alias("_path")
+    staged = stage(scan.select(*map(_quoted, scan.columns), source), "delimited")
+    line = F.col(corrupt)
+    rows = staged.where(line.isNull()).select(*map(_quoted, schema.names))
+    rejects = staged.where(line.isNotNull())
+    # a separator inside of quotes parts no fields
+    bare = F.regexp_replace(line, r'"(?:[^"\\]|\\.|"")*"', "")
+    fields = F.regexp_count(bare, F.lit("\\Q" + sep + "\\E")) + 1
+    reason = F.when(fields < len(schema), "too few fields").when(fields > len(schema), "too many fields")
+    # of the columns, those that are NULL although their text is not empty
+    wrong = [F.when(F.col(_quoted(f.name)).isNull(), F.lit(f.name)) for f in schema.fields
+             if not isinstance(f.dataType, T.StringType)]
+    wrong = F.concat_ws(", ", *wrong) if wrong else F.lit("")
+    reason = reason.otherwise(F.concat(F.lit("not of its type: "), wrong))
+    return rows, rejects.select(F.col("_path").alias("path"), line.alias("line"), reason.alias("reject_reason"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def list_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Files of a folder with size and time, e.g. to look at what was written. Reads no contents."""
     return read_binary(spark, path, recursive=recursive).select(

@@ -1,4 +1,4 @@
-"""Object-store access through Hadoop settings instead of mounts or credentials in a URI."""
+"""Object-store access through Hadoop settings instead of credentials in a URI, and mounted names for stores."""
 
 from __future__ import annotations
 
@@ -40,3 +40,27 @@ def use_store(spark: SparkSession, settings: dict[str, str]) -> None:
 
 def store_uri(bucket: str, *parts: str) -> str:
     return "/".join([f"s3a://{bucket}", *(part.strip("/") for part in parts)])
+
+
+def mount_settings(name: str, links: dict[str, str]) -> dict[str, str]:
+    """Settings of a mount table: below `viewfs://<name>`, each link (like `/training`) leads to a URI.
+
+    Paths keep the mounted name wherever they appear, so that jobs and their results do not depend on
+    the store behind it. A bucket's own settings (`store_settings`) apply to what is behind a link.
+    """
+    if not links:
+        raise ValueError("a mount table needs a link")
+    prefix = f"fs.viewfs.mounttable.{name}.link"
+    settings = {f"{prefix}./{link.strip('/')}": target for link, target in links.items()}
+    # a file system that was opened before would keep the links of that time
+    return {**settings, "fs.viewfs.impl.disable.cache": "true"}
+
+
+def mount_uri(name: str, *parts: str) -> str:
+    return "/".join([f"viewfs://{name}", *(part.strip("/") for part in parts)])
+
+
+def mounts(spark: SparkSession, name: str) -> dict[str, str]:
+    """The links of a mount table that is in force in this session."""
+    prefix = f"fs.viewfs.mounttable.{name}.link."
+    return {key.removeprefix(prefix): value for key, value in spark.conf.getAll.items() if key.startswith(prefix)}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixture_files import bmp, onnx_conv
 from pyspark.sql import functions as F
@@ -229,3 +230,63 @@ def test_pooling_report_shows_that_averages_smooth(spark, tensor_rows):
              pooled.std(axis=0, ddof=1).mean()],
         )
     assert rows["avg"]["mean_dim_stddev"] < rows["max"]["mean_dim_stddev"]
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Records of 1 KB and of 5 MB: no batch is decoded that is larger than 6 MB, unless by one record alone."""
+    from fovea.operators import featurize as module
+
+    sizes = np.array([3, 5, 9, 0, 1, 1, 1, 20])
+    assert list(module.batch_bounds(sizes, 3, 10)) == [(0, 2), (2, 5), (5, 7), (7, 8)]
+    assert list(module.batch_bounds(sizes[:0], 3, 10)) == []
+
+    def stack(batch):
+        total = sum(len(x) for x in batch.to_pylist() if x is not None)
+        return np.full((len(batch), 2), [total, len(batch)], np.float64), [None] * len(batch)
+
+    rows = spark.range(200, numPartitions=2).select(
+        "id",
+        F.when(F.col("id") % 40 == 7, F.expr("cast(repeat('x', 5 << 20) as binary)"))
+        .when(F.col("id") == 3, F.lit(None).cast("binary"))
+        .when(F.col("id") == 150, F.expr("cast(repeat('y', 20 << 20) as binary)"))
+        .otherwise(F.expr("cast(repeat('z', 1024) as binary)")).alias("content"),
+    )
+    found = module.featurize(rows, lambda: lambda t: t, stack, "content", ["id"], batch_bytes=6 << 20).collect()
+    assert len(found) == 200
+    for row in found:
+        total, together = row["features"]
+        assert total <= 6 << 20 or (row["id"], total, together) == (150, 20 << 20, 1)
+    assert max(row["features"][1] for row in found) > 10
+
+
+def test_session_bounds_what_is_sent(spark):
+    from fovea.operators import featurize as module
+
+    before = spark.conf.get(module.ARROW_BYTES)
+    assert before in ("64m", str(64 << 20))
+    try:
+        module.set_batch_bytes(spark, 1 << 20)
+        rows = spark.range(64, numPartitions=1).select(F.expr("cast(repeat('x', 256 << 10) as binary)").alias("content"))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+        assert max(row["n"] for row in rows.mapInArrow(sizes, "n bigint").collect()) < 2 << 20
+    finally:
+        module.set_batch_bytes(spark, 64 << 20)
+
+
+def test_quantiles_of_poolings(spark):
+    from fovea.operators.featurize import pooling_quantiles
+
+    rng = np.random.default_rng(1)
+    tensors = rng.standard_normal((501, 12))
+    df = spark.createDataFrame([(t.tolist(),) for t in tensors], "t array<double>").repartition(5)
+    found = pooling_quantiles(df, "t", 3, (0.1, 0.5)).collect()
+    assert len(found) == 2 * 3 * 2
+    for row in found:
+        values = getattr(tensors.reshape(501, 4, 3), {"max": "max", "avg": "mean"}[row["pooling"]])(axis=1)
+        values = np.sort(values[:, row["dim"]])
+        assert np.isclose(row["value"], values[int(np.ceil(row["quantile"] * 501)) - 1])
+    assert pooling_quantiles(df.limit(0), "t", 3).count() == 0
