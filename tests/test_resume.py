@@ -37,7 +37,7 @@ def build(spark, tree, seen, **options):
 
     options = {"identity": {"model": str(tree)}, "width": 2, "reduction": {"k": 2}, **options}
     table, _, _ = build_feature_table(
-        read_class_tree(spark, str(tree)), factory, file_stack(decode, (1, 1, 2)), element="double", **options
+        read_class_tree(spark, str(tree)), factory, file_stack(decode, (1, 1, 2), preprocess=False), element="double", **options
     )
     return sorted((r["path"], tuple(r["features_std_pca"])) for r in table.collect())
 
