@@ -7,10 +7,11 @@ place is the rank by 2h lines. Suffixes whose rank is theirs alone drop out. A r
 is an interval of the suffix array whose common prefix has at least h lines; two overlapping ranks
 name the interval for any other number of lines.
 
-A run counts if it has at least `min_words` words. A line is deleted if it lies in such a run that
-also occurs earlier: in a document with a smaller id, or further up in the same one. Every such run is
-covered by the shortest runs that count and begin or end at one of its lines, so it is enough to look up
-the intervals of those; what is deleted is the union of whole maximal runs.
+A run counts if it is not blank; callers may ask for more, with `min_words`. A line is deleted if it lies in
+such a run that also occurs earlier: in a document with a smaller id, or further up in the same one. Every such
+run is covered by the shortest runs that count and begin or end at one of its lines, so it is enough to
+look up the intervals of those; what is deleted is the union of whole maximal runs. A word is up to eight
+characters without white space, so that text in a script without spaces has words as well.
 
 Pairs and lines are counted in tasks before they are shuffled, and positions are joined to ranks, never
 gathered by rank, so a line that is everywhere is no hot spot. Main path: DataFrame functions only.
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 
 from fovea.llm.common import materialize
 
-MIN_WORDS = 10
+#: Fewest words of a run that counts: one, that is, all but blank runs.
+MIN_WORDS = 1
+WORD = r"\S{1,8}"
 DOC = ["_id", "_text"]
 
 
@@ -47,7 +50,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """(_id, _text, at, words, rank) of lines that occur at least twice; ranks order lines."""
     lines = with_keys(docs.select("doc_id", "text")).select(*DOC, F.posexplode(lines_of()).alias("at", "line"))
     lines = lines.select(
-        *DOC, "at", F.regexp_count("line", F.lit(r"\S+")).alias("words"),
+        *DOC, "at", F.regexp_count("line", F.lit(WORD)).alias("words"),
         F.xxhash64("line").alias("a"), F.xxhash64(F.lit("second"), "line").alias("b"),
     )
     often = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
@@ -86,7 +89,8 @@ def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
     rows = rows.withColumn("upto", F.sum("words").over(Window.partitionBy(*island).orderBy("at")))
     rows = rows.withColumn("before", F.col("upto") - F.col("words"))
     whole = Window.partitionBy(*island)
-    onward = whole.orderBy("before").rangeBetween(min_words, Window.unboundedFollowing)
+    # both frames grow as the window goes on, so that each line is added to them once
+    onward = whole.orderBy(F.desc("before")).rangeBetween(Window.unboundedPreceding, -min_words)
     backward = whole.orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words)
     rows = rows.select(
         *DOC, "at", "before", "upto",

@@ -123,7 +123,7 @@ def line_dedup_sql(min_words: int = line_dedup.MIN_WORDS) -> str:
     ),
     counted AS (
       SELECT doc_id, lines,
-             list_transform(lines, lambda x: len(regexp_extract_all(x, '\\S+'))) AS words
+             list_transform(lines, lambda x: len(regexp_extract_all(x, '{line_dedup.WORD}'))) AS words
       FROM docs
     ),
     spots AS (
@@ -227,19 +227,23 @@ def topk_sql(top: int = topk.TOP, scale: int = topk.SCALE) -> str:
 def url_trust_sql(
     rules=url_trust.RULES,
     damping: float = url_trust.DAMPING,
-    iterations: int = url_trust.ITERATIONS,
+    turns: int = 64,
     threshold: float = url_trust.THRESHOLD,
 ) -> str:
-    """The rules as a table; one common table expression for each turn of the walks."""
+    """The rules as a table; one common table expression for each turn of the walks.
+
+    After `turns` turns what is missing from any rank is below damping to that power, here 1e-14; no host
+    of the given tables is as many links from a seed.
+    """
     values = ", ".join(f"('{what}', '{host}', '{path}')" for what, host, path in rules)
-    turns = ", ".join(
-        f"""r{k} AS (
+    walks = ", ".join(
+        f"""r{k} AS MATERIALIZED (
       SELECT walk, host, sum(rank) AS rank FROM (
         SELECT r.walk, s.target AS host, r.rank * s.part AS rank
         FROM r{k - 1} r JOIN steps s ON s.walk = r.walk AND s.host = r.host
         UNION ALL SELECT walk, host, rank FROM r0
       ) GROUP BY walk, host)"""
-        for k in range(1, iterations + 1)
+        for k in range(1, turns + 1)
     )
     return f"""
     WITH cut AS (
@@ -266,39 +270,44 @@ def url_trust_sql(
         regexp_extract_all(html, '(?i)(?:href|src)\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\\s>]+)', 1)
       ))) AS target FROM parsed
     ),
+    labels AS (
+      SELECT DISTINCT string_split(host, '.') AS l
+      FROM (SELECT source AS host FROM named UNION SELECT target FROM named UNION SELECT host FROM parsed)
+      WHERE length(host) <= {url_trust.LONGEST_HOST}
+    ),
     above AS (
-      SELECT DISTINCT host AS source, regexp_replace(host, '^[^.]+\\.', '') AS target
-      FROM parsed WHERE regexp_matches(host, '^[^.]+\\.[^.]+\\..+$')
+      SELECT DISTINCT array_to_string(l[i:], '.') AS source, array_to_string(l[i + 1:], '.') AS target
+      FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM labels)
     ),
     links AS (
       SELECT source, target, sum(n) AS n FROM (
         SELECT source, target, 1 AS n FROM named
         UNION ALL SELECT source, target, 1 FROM above
         UNION ALL SELECT target, source, 1 FROM above
-      ) WHERE source <> target AND source <> '' GROUP BY source, target
+      ) WHERE source <> target AND source <> '' AND target <> '' GROUP BY source, target
     ),
     ways AS (
       SELECT 0 AS walk, source AS host, target, n FROM links
       UNION ALL SELECT 1, target, source, n FROM links
     ),
-    steps AS (
+    steps AS MATERIALIZED (
       SELECT walk, host, target, n / sum(n) OVER (PARTITION BY walk, host) * {damping}::DOUBLE AS part FROM ways
     ),
     seeds AS (
       SELECT 0 AS walk, host, count(*) AS rank FROM judged WHERE ruled = 'allow' GROUP BY host
       UNION ALL SELECT 1, host, count(*) FROM judged WHERE ruled = 'block' GROUP BY host
     ),
-    r0 AS (
+    r0 AS MATERIALIZED (
       SELECT walk, host, rank / sum(rank) OVER (PARTITION BY walk) * (1 - {damping}::DOUBLE) AS rank FROM seeds
     ),
-    {turns},
+    {walks},
     hosts AS (
       SELECT host, sum(CASE WHEN walk = 0 THEN rank ELSE 0 END) AS trust,
              sum(CASE WHEN walk = 1 THEN rank ELSE 0 END) AS distrust
-      FROM r{iterations} GROUP BY host
+      FROM r{turns} GROUP BY host
     )
     SELECT page_id, j.host, path, rule, coalesce(ruled, CASE
-      WHEN coalesce(distrust, 0) > {threshold} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
+      WHEN coalesce(distrust, 0) > {threshold} * (1 + 1e-9) * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
     FROM judged j LEFT JOIN hosts h ON h.host = j.host
     """
 
