@@ -41,14 +41,14 @@ def build_session(app_name: str = "fovea", master: str | None = None, **conf: st
 def shared_base(spark: SparkSession) -> str:
     """The folder the cluster shares: `spark.checkpoint.dir`.
 
-    Where that is unset, a session in one process takes a folder in its warehouse; on a cluster that may be a
-    local folder of the driver, so there it is an error.
+    Where that is unset, a folder in the warehouse. A warehouse in a local folder of the driver will do for a
+    session in one process; on a cluster executors would not see it, so there it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fovea-scratch"
+        if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return base.rstrip("/")
 
 
