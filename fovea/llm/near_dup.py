@@ -37,6 +37,8 @@ from fovea.llm.common import materialize, prepare, whole_text
 WORDS, PERCENT = 3, 85
 MISSED = 1e-7
 MOST_COORDINATES = 144
+#: Sizes of shingle sets are told apart in steps of this factor where prefixes are joined.
+SIZE_STEP = 1.05
 BLOCK = 4096
 
 
@@ -209,8 +211,10 @@ def similar_prefixes(rows: DataFrame, texts: DataFrame, words: int, percent: int
 
     Shingles are put in one order for all texts, rarest first. If two sets share `percent` of their union,
     their first common shingle is among the first n - ceil(n * percent / 100) + 1 of either, and enough
-    others follow it in both.
+    others follow it in both. Sizes that fit are part of what is joined, so that texts of one template that
+    are all just too different meet no one.
     """
+    prepare(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,14 +241,23 @@ def similar_prefixes(rows: DataFrame, texts: DataFrame, words: int, percent: int
     # a shingle of one text alone has no one to meet
     prefixes = prefixes.where("shingle.df > 1").select("doc_id", "root", "n", "at", F.col("shingle.s").alias("s"))
     prefixes = materialize(prefixes, "prefixes")
-    other = prefixes.select(
-        "s", F.col("doc_id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("m"),
-        F.col("at").alias("at_b"),
+    # what is common from a place on is at most what is left there: that bounds the other text's size
+    left = (100 + percent) * (F.col("n") - F.col("at"))
+    prefixes = prefixes.withColumn("most", F.floor(left / percent).cast("bigint") - F.col("n"))
+    size_class = lambda size: F.floor(F.log(size) / math.log(SIZE_STEP)).cast("int")
+    # of a pair the smaller one looks, among the sizes it can match; most places cannot match their own size
+    small = prefixes.where("most >= n").withColumn(
+        "sizes", F.explode(F.sequence(size_class(F.col("n")), size_class(F.col("most"))))
+    )
+    large = prefixes.where(100 * F.col("most") >= percent * F.col("n")).select(
+        F.col("s").alias("s_b"), F.col("doc_id").alias("b"), F.col("root").alias("root_b"),
+        F.col("n").alias("m"), F.col("most").alias("most_b"), size_class(F.col("n")).alias("sizes_b"),
     )
-    most = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at_b"))
-    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("m"))
-    meet = (prefixes["s"] == other["s"]) & (F.col("doc_id") < F.col("b")) & (F.col("root") != F.col("root_b"))
-    return prefixes.join(other, meet & enough).select(F.col("doc_id").alias("a"), "b").distinct()
+    meet = (F.col("s") == F.col("s_b")) & (F.col("sizes") == F.col("sizes_b"))
+    fits = (F.col("n") <= F.col("m")) & (F.col("m") <= F.col("most")) & (F.col("n") <= F.col("most_b"))
+    apart = (F.col("doc_id") != F.col("b")) & (F.col("root") != F.col("root_b"))
+    pair = (F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b"))
+    return small.join(large, meet & fits & apart).select(*pair).distinct()
 
 
 def _labelled(rows: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
