@@ -6,7 +6,7 @@ leaves: the merged symbol, the one it swallowed and the one before. Each is carr
 and merging goes on until the root says that no pair is left.
 
 Short words of one power-of-two size are merged side by side, one tree per row of an array. Longer
-ones are merged by the same steps in a list, in n log n. Equal words are merged once per table of
+ones are merged by the same steps in flat arrays, in n log n. Equal words are merged once per table of
 `CACHED_WORDS` words in a worker.
 
 Defined cases: a null text is empty and has no ids; special tokens in a text become their ids, as the
@@ -17,6 +17,7 @@ ignored.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ WIDEST = 64
 BATCH = 2048
 NONE = np.int64(1 << 62)
 PLACE_BITS = 20
+#: Bits of a place in a long word, beside which a rank has room in 62.
+LONG_BITS = 40
 
 #: How this family of tokenizers cuts a text into words.
 WORDS = (
@@ -142,44 +145,56 @@ class Bpe:
         rank = np.where(exists, rank, NONE)
         self._put(tree, size, rows, left, np.where(rank < NONE, rank << PLACE_BITS | left, NONE))
 
-    def merge_long(self, word: bytes) -> list[int]:
-        """Ids of one word of any length, by the same steps."""
-        token = self.of_byte[np.frombuffer(word, np.uint8)].tolist()
-        n = len(token)
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one word of any length, by the same steps, in flat arrays: some 40 bytes for each of its own."""
+        symbols = self.of_byte[np.frombuffer(word, np.uint8)]
+        n = len(symbols)
         size = 1 << max(n - 1, 1).bit_length()
-        end = (1 << 62, n)
-        tree = [end] * (2 * size)
-        following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
-
-        def leaf(i: int) -> tuple[int, int]:
+        none = 1 << 62
+        leaves = np.full(size, none, np.int64)
+        rank = self.ranks_of(symbols[:-1], symbols[1:])
+        at = np.nonzero(rank < NONE)[0]
+        leaves[at] = rank[at] << LONG_BITS | at
+        tree = array("q", bytes(8 * size)) + array("q", leaves.tobytes())
+        levels = np.frombuffer(tree, np.int64)
+        level = size >> 1
+        while level:
+            np.minimum(levels[2 * level : 4 * level : 2], levels[2 * level + 1 : 4 * level : 2], out=levels[level : 2 * level])
+            level >>= 1
+        del levels
+        token = array("i", symbols.astype(np.int32).tobytes())
+        following = array("i", np.arange(1, n + 1, dtype=np.int32).tobytes())
+        previous = array("i", np.arange(-1, n - 1, dtype=np.int32).tobytes())
+        rank_of, place = self.rank_of.get, (1 << LONG_BITS) - 1
+        merged = self.merged.tolist()
+
+        def put(i: int) -> None:
+            """Leaf i anew, carried up as far as it changes something."""
             j = following[i]
-            rank = self.rank_of.get((token[i], token[j])) if j < n else None
-            return end if rank is None else (rank, i)
-
-        for i in range(n):
-            tree[size + i] = leaf(i)
-        for node in range(size - 1, 0, -1):
-            tree[node] = min(tree[2 * node], tree[2 * node + 1])
-        merged = self.merged
-        while tree[1] != end:
-            rank, i = tree[1]
+            found = rank_of((token[i], token[j])) if token[i] >= 0 and j < n else None
+            tree[size + i] = none if found is None else found << LONG_BITS | i
+            node = size + i >> 1
+            while node:
+                a, b = tree[2 * node], tree[2 * node + 1]
+                a = a if a < b else b
+                if tree[node] == a:
+                    break
+                tree[node] = a
+                node >>= 1
+
+        while tree[1] != none:
+            i, found = tree[1] & place, tree[1] >> LONG_BITS
             j = following[i]
-            token[i], token[j] = int(merged[rank]), -1
+            token[i], token[j] = merged[found], -1
             following[i] = following[j]
             if following[j] < n:
                 previous[following[j]] = i
-            tree[size + j] = end
-            tree[size + i] = leaf(i)
-            changed = [j, i]
+            put(j)
+            put(i)
             if previous[i] >= 0:
-                tree[size + previous[i]] = leaf(previous[i])
-                changed.append(previous[i])
-            for place in changed:
-                node = (size + place) >> 1
-                while node:
-                    tree[node] = min(tree[2 * node], tree[2 * node + 1])
-                    node >>= 1
-        return [x for x in token if x >= 0]
+                put(previous[i])
+        out = np.frombuffer(token, np.int32)
+        return out[out >= 0]
 
     def learn(self, words: list[str]) -> None:
         """Put new words into the table."""
@@ -194,7 +209,7 @@ class Bpe:
                 self.cache.update(zip([words[i] for i in part], ids))
             size *= 2
         for i in np.nonzero(lengths > WIDEST)[0].tolist():
-            self.cache[words[i]] = np.array(self.merge_long(raw[i]), "<u4").tobytes()
+            self.cache[words[i]] = self.merge_long(raw[i]).astype("<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
