@@ -194,13 +194,14 @@ def shard(
     Slots are numbered in buckets of about `rows_per_bucket` rows, whose counts are added up first, so no
     task sorts a whole shard.
     """
-    rows = materialize(metadata(docs), "metadata")
+    # rows equal in both hashes are told apart by the task that read them
+    rows = materialize(metadata(docs).withColumn("_salt", F.spark_partition_id()), "metadata")
     tree = grow(rows, shards, precision, whole_groups)
     buckets = max(1, -(-rows.count() // (shards * rows_per_bucket)))
     placed = rows.select(
-        "doc_id", "size", "checksum", "text_hash", "id_hash",
+        "doc_id", "size", "checksum", "text_hash", "id_hash", "_salt",
         tree.place("first").cast("int").alias("shard"),
-        F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)).alias("_bucket"),
+        F.pmod(F.xxhash64("doc_id", "text_hash", "_salt"), F.lit(buckets)).alias("_bucket"),
     )
     counts = placed.groupBy("shard", "_bucket").agg(F.count("*").alias("_rows"))
     earlier = Window.partitionBy("shard").orderBy("_bucket")
