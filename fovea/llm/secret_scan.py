@@ -45,6 +45,7 @@ LEAST_CANDIDATE = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST_CANDIDATE)
 MARKS = "+/_.=-"
 DIGIT = re.compile(r"[0-9]")
+#: Bounds of the sample that the automata are learned from: strings of a kind, and characters of a string.
 PER_KIND = 1_000
 LONGEST_LEARNED = 128
 #: Natural logarithm of how much likelier a credential's format must be than an ordinary one's.
@@ -273,23 +274,26 @@ def extract(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
 
 
-def _sample(strings: DataFrame, per_kind: int) -> list[str]:
-    """Distinct strings with the least hashes; beyond `LONGEST_LEARNED` a string is not learned."""
-    short = strings.where(F.length("value") <= LONGEST_LEARNED).select("value").distinct()
+def _sample(strings: DataFrame, per_kind: int, longest: int) -> list[str]:
+    """Distinct strings of at most `longest` characters with the least hashes."""
+    short = strings.where(F.length("value") <= longest).select("value").distinct()
     rows = short.orderBy(F.xxhash64("value"), "value").limit(per_kind).collect()
     return [row["value"] for row in rows]
 
 
-def learn(found: DataFrame, per_kind: int = PER_KIND) -> Formats:
-    """Automata from extracted rows (see `extract`)."""
+def learn(found: DataFrame, per_kind: int = PER_KIND, longest: int = LONGEST_LEARNED) -> Formats:
+    """Automata from extracted rows (see `extract`).
+
+    Learned from `per_kind` strings of a kind of at most `longest` characters; all strings are scored, of any length.
+    """
     base = found.select(F.inline("base"))
     labelled = {}
     for k, name in enumerate(KINDS):
-        strings = _sample(base.where(F.col("kind") == k), per_kind)
+        strings = _sample(base.where(F.col("kind") == k), per_kind, longest)
         if strings:
             labelled[name] = strings
     kinds = {name: infer(strings) for name, strings in labelled.items()}
-    others = _sample(found.select(F.inline("candidates")), per_kind)
+    others = _sample(found.select(F.inline("candidates")), per_kind, longest)
     return Formats(kinds, infer_ordinary(others, kinds, labelled))
 
 
@@ -327,10 +331,12 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def scan(docs: DataFrame, per_kind: int = PER_KIND, least: float = LEAST_RATIO) -> DataFrame:
+def scan(
+    docs: DataFrame, per_kind: int = PER_KIND, least: float = LEAST_RATIO, longest: int = LONGEST_LEARNED
+) -> DataFrame:
     """(doc_id, base, added): all spans of all documents; the texts are read once."""
     found = materialize(extract(docs), "secrets")
-    return score(found, learn(found, per_kind), least)
+    return score(found, learn(found, per_kind, longest), least)
 
 
 def redact(
@@ -338,12 +344,13 @@ def redact(
     per_kind: int = PER_KIND,
     least: float = LEAST_RATIO,
     mark: str = "[secret]",
+    longest: int = LONGEST_LEARNED,
 ) -> DataFrame:
     """The documents with every span replaced by `mark`; overlapping spans become one mark.
 
     Columns stay as they are, but for `text`; a text without spans, or null, stays as it is.
     """
-    formats = learn(materialize(extract(docs), "secrets"), per_kind)
+    formats = learn(materialize(extract(docs), "secrets"), per_kind, longest)
     prepare(docs.sparkSession)
 
     def clean(text: str) -> str:
