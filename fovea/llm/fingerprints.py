@@ -11,7 +11,7 @@ The lexicon has at most e^max_idf times as many terms as a document has distinct
 however many documents there are; so it is collected and shipped to tasks.
 
 Defined cases: a null text is empty; a text without words has the fingerprint `empty`, one without terms of
-the lexicon a hash of all its distinct terms; equal texts have equal fingerprints and likeness 1; null
+the lexicon is hashed in the same way with all its distinct terms, and is like none that has some; equal texts have equal fingerprints and likeness 1; null
 ids sort after all others; among rows with one id the order is that of a hash of the text; the only
 document is its own next one; other columns are ignored.
 """
@@ -99,17 +99,20 @@ class Loaded:
         self.hash = np.array([term_hash(x) for x in lexicon.terms], np.uint64)
         self.subsets = lexicon.subsets
         self.seeds = mix(np.arange(1, lexicon.subsets + 1, dtype=np.uint64))
-        # a term is in subset k of all scales up to its level there
-        drawn = mix(self.hash[:, None] ^ self.seeds) >> np.uint64(11)
-        self.level = 53 - np.frexp(drawn.astype(np.float64))[1].astype(np.int8)
+        self.level = self._levels(self.hash)
 
-    def _hashes(self, places: np.ndarray, scale: int) -> list[str]:
-        """Hashes of the terms in each subset, 0 for those that hold none, for the scales after this."""
-        level = self.level[places]
+    def _levels(self, hashes: np.ndarray) -> np.ndarray:
+        """A term is in subset k of all scales up to its level there."""
+        drawn = mix(hashes[:, None] ^ self.seeds) >> np.uint64(11)
+        return 53 - np.frexp(drawn.astype(np.float64))[1].astype(np.int8)
+
+    def _hashes(self, hashes: np.ndarray, level: np.ndarray, mark: str = "") -> str:
+        """Hashes of the terms in each subset, 0 for those that hold none, at the scales for so many terms."""
+        scale = int(math.log2(len(hashes)))
         term, subset = np.nonzero(level > scale)
         level = level[term, subset]
         with np.errstate(over="ignore"):
-            value = mix(self.hash[places[term]] + self.seeds[subset])
+            value = mix(hashes[term] + self.seeds[subset])
         out = []
         for s in range(scale + 1, scale + 1 + SCALES):
             held = level >= s
@@ -118,8 +121,8 @@ class Loaded:
             np.add.at(total, subset[held], value[held])
             some = np.bincount(subset[held], minlength=self.subsets) > 0
             short = np.where(some, np.maximum(mix(total) & MASK, 1), 0)
-            out.append(f"{s}:{short.astype('>u2').tobytes().hex()}")
-        return out
+            out.append(f"{mark}{s}:{short.astype('>u2').tobytes().hex()}")
+        return ";".join(out)
 
     def fingerprint(self, text: str) -> str:
         distinct = set(terms(text))
@@ -127,9 +130,10 @@ class Loaded:
             return "empty"
         places = np.array(sorted(self.place[x] for x in distinct & self.place.keys()), np.int64)
         if not len(places):
-            return "rare:" + hashlib.sha256(b"\n".join(sorted(distinct))).hexdigest()[:32]
-        scale = int(math.log2(len(places)))
-        return ";".join(self._hashes(places, scale))
+            # no term of the band: all terms take part, each by its own hash
+            hashes = np.array(sorted(map(term_hash, distinct)), np.uint64)
+            return self._hashes(hashes, self._levels(hashes), "all")
+        return self._hashes(self.hash[places], self.level[places])
 
 
 def likeness(a: str, b: str) -> float:
