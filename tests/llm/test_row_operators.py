@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,6 +19,9 @@ from fovea.llm.common import table
 # --- line dedup
 
 
+WORD = re.compile(line_dedup.WORD, re.ASCII)
+
+
 def plain_line_dedup(docs, min_words):
     """{id: text}: a line goes if it lies in a run of enough words that also begins earlier."""
     split = [(i, t.split("\n")) for i, t in sorted(docs.items())]
@@ -36,13 +41,14 @@ def plain_line_dedup(docs, min_words):
                 while p + n < len(lines) and q + n < len(other) and lines[p + n] == other[q + n]:
                     n += 1
                 best = max(best, n)
-            if best and sum(len(x.split()) for x in lines[p : p + best]) >= min_words:
+            if best and sum(len(WORD.findall(x)) for x in lines[p : p + best]) >= min_words:
                 gone.update(range(p, p + best))
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
-def test_line_dedup_is_brute_force(spark, texts):
+@pytest.mark.parametrize("least", [1, 12])
+def test_line_dedup_is_brute_force(spark, texts, least):
     """The small table, and texts of few different lines, which repeat in runs of all lengths."""
     rng = np.random.default_rng(3)
     words = ["a", "b c", "d e f", "", "g h i j k l m n o p q"]
@@ -50,8 +56,8 @@ def test_line_dedup_is_brute_force(spark, texts):
     for k in range(60):
         docs[10_000 + k] = "\n".join(rng.choice(words, rng.integers(0, 40), p=[0.3, 0.3, 0.2, 0.15, 0.05]))
     df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(7)
-    rows = line_dedup.dedup_lines(df, 12).collect()
-    expected = plain_line_dedup(docs, 12)
+    rows = line_dedup.dedup_lines(df, least).collect()
+    expected = plain_line_dedup(docs, least)
     assert {r["doc_id"]: r["text"] for r in rows} == expected
     for r in rows:
         assert r["n_lines"] == len(docs[r["doc_id"]].split("\n"))
@@ -59,6 +65,29 @@ def test_line_dedup_is_brute_force(spark, texts):
         assert r["n_lines"] - r["n_deleted"] == left
 
 
+def test_short_lines_and_scripts_without_spaces_repeat(spark):
+    long = "漢字" * 40
+    docs = [(1, f"a\n\nb\n{long}\nown"), (2, f"x\na\n\nb\ny\na\n{long}\n\n"), (3, f"\n\n{long}\nb b")]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df).collect()}
+    assert found == {1: docs[0][1], 2: "x\ny\n\n", 3: "\n\nb b"}
+    # with the pipeline's guard a line without spaces still counts by its length, and short lines stay
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, corpus_pipeline.RUN_WORDS).collect()}
+    assert found == {1: docs[0][1], 2: "x\na\n\nb\ny\na\n\n", 3: "\n\nb b"}
+
+
+def test_a_long_document_of_repeated_lines(spark):
+    """Time must not grow with the square of a document's lines."""
+    text = "\n".join(f"line {i}" for i in range(40_000))
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string")
+    lines = line_dedup.repeated_lines(df)
+    begin = time.monotonic()
+    assert line_dedup.shortest_runs(lines, 3).count() == 2 * 39_999
+    assert time.monotonic() - begin < 30
+    found = {r["doc_id"]: r["n_deleted"] for r in line_dedup.dedup_lines(df).collect()}
+    assert found == {1: 0, 2: 40_000}
+
+
 def test_ranks_are_the_suffix_order(spark):
     """Ranks by four lines order the repeated suffixes as their lines' ranks do."""
     text = "\n".join("abcabcabcabdabcabcabd")
@@ -177,6 +206,41 @@ def test_near_duplicates_of_odd_documents(odd_documents, no_documents):
     assert near_dup.near_duplicates(no_documents).count() == 0
 
 
+def test_prefixes_lose_no_similar_pair(spark):
+    """Alone, on rows that all have roots of their own: every linked pair is among those found."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = {}
+    for family in range(12):
+        stem = rng.choice(vocabulary, rng.integers(3, 120)).tolist()
+        for copy in range(6):
+            words = list(stem)
+            for at in rng.integers(0, len(words), copy):
+                words[at] = rng.choice(vocabulary)
+            texts[100 * family + copy] = " ".join(words + [f"end{copy}"] * int(rng.integers(0, 3)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    rows = docs.select("doc_id", F.col("doc_id").alias("root"))
+    for words, percent in ((3, 85), (2, 50)):
+        found = {(r["a"], r["b"]) for r in near_dup.similar_prefixes(rows, docs, words, percent).collect()}
+        sets = {i: near_dup.shingles(t, words) for i, t in texts.items()}
+        linked = {(i, j) for i in sets for j in sets if i < j and near_dup.linked(sets[i], sets[j], percent)}
+        assert linked <= found and len(linked) > 10
+        assert len(found) < 0.2 * len(texts) ** 2 / 2
+
+
+def test_a_template_under_the_threshold_meets_no_one(spark):
+    """Texts of 300 common words and 30 of their own, similarity about 0.83: no pair may even be formed."""
+    common = " ".join(f"c{i}" for i in range(300))
+    docs = spark.range(12_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(29)), lambda k: F.concat_ws("o", "id", k)), F.lit(common)).alias("text"),
+    )
+    rows = docs.select("doc_id", F.col("doc_id").alias("root"))
+    begin = time.monotonic()
+    assert near_dup.similar_prefixes(rows, docs, 3, 85).count() == 0
+    assert time.monotonic() - begin < 60
+
+
 # --- top-k
 
 
@@ -220,7 +284,7 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
-def test_segment_bound_holds_and_prunes():
+def test_segment_bound_holds():
     rng = np.random.default_rng(7)
     x, q = (np.cumsum(rng.integers(-50, 50, (n, 64)), axis=1) for n in (500, 20))
     for segments in topk.LEVELS:
@@ -228,6 +292,33 @@ def test_segment_bound_holds_and_prunes():
         assert (bound + 1e-6 * np.abs(bound) >= q @ x.T).all()
 
 
+def test_each_level_prunes_vectors_that_fall_into_groups(spark):
+    """Walks around forty centres: whole groups drop, then pairs by coarse and by fine statistics; results stay exact."""
+    rng = np.random.default_rng(8)
+    centres = np.repeat(rng.integers(-400, 400, (40, 16)), 4, axis=1)
+    rows = [(i, (centres[i % 40] + rng.integers(-60, 60, 64)).tolist()) for i in range(6000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, v array<bigint>")
+    queries = df.where("vec_id % 100 = 0")
+    report = {r["step"]: (r["pairs"], r["dropped"]) for r in topk.pruning(df, queries, 10, 500).collect()}
+    assert report["boxes"][0] == 60 * 6000 and report["boxes"][1] > 0.3 * report["boxes"][0]
+    assert report["coarse"][1] > 0.5 * report["coarse"][0] and report["fine"][1] > 0.05 * report["fine"][0]
+    found = defaultdict(list)
+    for r in topk.search(df, queries, 10, 500).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append((r["vec_id"], r["score"]))
+    x = np.array([v for _, v in rows])
+    for i, best in found.items():
+        scores = x @ x[i]
+        order = [int(j) for j in np.lexsort((np.arange(6000), -scores)) if j != i][:10]
+        assert best == [(j, int(scores[j])) for j in order]
+    assert len(found) == 60
+
+
+def test_pruning_report_of_vectors_without_groups(spark, sf_dir):
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    report = {r["step"]: r["pairs"] for r in topk.pruning(vectors, vectors.where("vec_id % 100 = 0")).collect()}
+    assert report["boxes"] >= report["coarse"] >= report.get("fine", 0)
+
+
 # --- URL trust
 
 
@@ -272,15 +363,29 @@ def test_trust_spreads_along_links_and_distrust_against_them(spark):
     assert links == {("good.com", "friend.org"): 1, ("friend.org", "far.org"): 1, ("spam.net", "friend.org"): 1,
                      ("linker.org", "spam.net"): 1, ("www.linker.org", "linker.org"): 1,
                      ("linker.org", "www.linker.org"): 1}
-    trust = plain_trust(links, {"good.com": 1}, url_trust.DAMPING, url_trust.ITERATIONS)
+    trust = plain_trust(links, {"good.com": 1}, url_trust.DAMPING, 60)
     turned = {(b, a): n for (a, b), n in links.items()}
-    distrust = plain_trust(turned, {"spam.net": 1}, url_trust.DAMPING, url_trust.ITERATIONS)
+    distrust = plain_trust(turned, {"spam.net": 1}, url_trust.DAMPING, 60)
     for r in rows:
         assert np.isclose(r["trust"], trust.get(r["host"], 0))
         assert np.isclose(r["distrust"], distrust.get(r["host"], 0))
     assert url_trust.judge(df.limit(0)).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    """Twenty hosts that each link to the next, the last one blocked by a rule; and evidence for a distant domain."""
+    pages = [(i, f"http://h{i}.org/", f"<a href='http://h{i + 1}.org/'>") for i in range(19)]
+    pages += [(19, "http://h19.org/", "<a href='http://spam.net/'>"), (20, "http://spam.net/es/", None),
+              (21, "http://a.b.example.net/", None), (22, "http://example.net/", "<a href='http://spam.net/'>"),
+              (23, "http://other.org/", None), (24, "http://" + "x." * 300 + "net/", None)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_trust.judge(df).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {*range(23)}
+    links = {(r["source"], r["target"]) for r in url_trust.host_links(df).collect()}
+    levels = [("a.b.example.net", "b.example.net"), ("b.example.net", "example.net")]
+    assert {*levels, *((b, a) for a, b in levels)} <= links and not any("x.x" in a for a, _ in links)
+
+
 def test_rules(spark):
     urls = {
         "https://A.Com/x?y": ("a.com", "/x", "com/"), "http://com/": ("com", "/", "com/"), "http://acom/": ("acom", "/", None),
@@ -331,6 +436,15 @@ def test_a_hot_group_is_split(spark):
     assert len(sizes) == 24 and max(sizes.values()) < 1.05 * min(sizes.values())
 
 
+def test_many_copies_of_one_row_are_numbered_in_several_buckets(spark):
+    """A third of all rows equal in id and text."""
+    rows = [(7, "the same row")] * 1000 + [(i, f"text number {i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    found = sharding.shard(df, 4, rows_per_bucket=40).collect()
+    check_shards(found, 4)
+    assert len(found) == 3000
+
+
 def test_shards_of_odd_documents(odd_documents, no_documents):
     rows = sharding.shard(odd_documents, 4).collect()
     check_shards(rows, 4)
@@ -356,7 +470,7 @@ def test_pipeline_is_its_operators(spark, sf_dir, texts):
     assert first.columns == list(corpus_pipeline.COLUMNS)
     assert {r["doc_id"]: r["text"] for r in first.collect()} == good
 
-    lines = plain_line_dedup(good, line_dedup.MIN_WORDS)
+    lines = plain_line_dedup(good, corpus_pipeline.RUN_WORDS)
     lines = {i: t for i, t in lines.items() if t.strip() or t == good[i]}
     start = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in good.items()], docs.schema)
     second = corpus_pipeline.line_stage(spark, start, sf_dir)

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,7 +19,7 @@ from tokenizers import Tokenizer
 
 from odd_rows import documents, no_documents, odd_documents, texts  # noqa: F401
 
-from fovea.llm import bpe, fingerprints, packing, quality, queries, secret_scan
+from fovea.llm import bpe, fingerprints, packing, quality, queries, secret_scan, words
 from fovea.llm.common import row_slices, running_offsets, tokenizer_path
 
 WORD, BYTE = tokenizer_path("word_bpe_49k.json"), tokenizer_path("byte_bpe_50k.json")
@@ -68,6 +69,24 @@ def test_quality_query_ranks_held_out_documents(spark, sf_dir, texts):
     assert wins > 0.97 and np.mean(np.array(good) >= 0.3) > 0.97
 
 
+def test_scores_are_sums_of_table_entries():
+    """Row by row and table by table, from the model's parts alone."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((400, 5)).round(1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    model = quality.fit(x, y, rounds=20, pair_rounds=10, pairs=2, bins=12)
+    assert len(model.pairs) == 2 and (0, 1) in model.pairs
+    found = model.scores(x)
+    for row, score in zip(x, found):
+        at = [sum(edge <= value for edge in edges) for value, edges in zip(row, model.edges)]
+        total = model.constant + sum(t[b] for t, b in zip(model.tables, at))
+        for (f, g), t in model.pairs.items():
+            total += t[at[f] * min(len(model.edges[f]) + 1, 8) // (len(model.edges[f]) + 1)][
+                at[g] * min(len(model.edges[g]) + 1, 8) // (len(model.edges[g]) + 1)]
+        assert math.isclose(score, 1 / (1 + math.exp(-total)), rel_tol=1e-9)
+    assert ((found > 0.5) == (y == 1)).mean() > 0.9
+
+
 def test_quality_of_odd_documents(spark, odd_documents, no_documents):
     labels = spark.createDataFrame(
         [(1, 1), (2, 0), (3, 0), (6, None), (7, 5), (None, 1), (8, 1), (8, 0)], "doc_id bigint, quality int"
@@ -107,7 +126,44 @@ def test_fingerprints_depend_on_the_set_of_terms_only():
     own = lexicon.fingerprint(text)
     assert fingerprints.likeness(own, near) > 0.6 > 0.1 > fingerprints.likeness(own, far)
     assert fingerprints.likeness(own, own) == 1.0
-    assert lexicon.fingerprint(" \n") == "empty" and lexicon.fingerprint("rare words").startswith("rare:")
+    assert lexicon.fingerprint(" \n") == "empty" and lexicon.fingerprint("rare words").startswith("all")
+
+
+def test_texts_without_terms_of_the_band_have_scaled_hashes_too():
+    lexicon = fingerprints.Lexicon([b"inside"]).load()
+    text = [f"outside{i}" for i in range(90)]
+    own = lexicon.fingerprint(" ".join(text))
+    near = lexicon.fingerprint(" ".join(text[3:]))
+    far = lexicon.fingerprint(" ".join(f"elsewhere{i}" for i in range(90)))
+    assert own == lexicon.fingerprint(" ".join(reversed(text)))
+    assert fingerprints.likeness(own, near) > 0.6 > 0.1 > fingerprints.likeness(own, far)
+    assert fingerprints.likeness(own, lexicon.fingerprint(" ".join([*text, "inside"]))) == 0
+
+
+def test_fingerprints_are_plain_imatch():
+    """Subset by subset: the terms that a subset holds, and a hash of their set that only it decides."""
+    band = [f"term{i}".encode() for i in range(300)]
+    loaded = fingerprints.Lexicon(sorted(band), subsets=8).load()
+    seeds = [int(x) for x in loaded.seeds]
+    mix = lambda x: int(fingerprints.mix(np.array([x], np.uint64))[0])
+    texts = [" ".join(f"term{i}" for i in range(a, b)) + " unknown" for a, b in ((0, 1), (0, 40), (0, 41), (7, 290))]
+
+    def held(term, k, scale):
+        """In subset k at a scale: the first `scale` bits of the term's own draw are zero."""
+        return mix(fingerprints.term_hash(term) ^ seeds[k]) >> (64 - scale) == 0
+
+    for text in texts:
+        inside = {t for t in fingerprints.terms(text)} & set(band)
+        scale = len(inside).bit_length() - 1
+        expected = []
+        for s in range(scale + 1, scale + 1 + fingerprints.SCALES):
+            hashes = []
+            for k in range(8):
+                some = [t for t in inside if held(t, k, s)]
+                total = sum(mix((fingerprints.term_hash(t) + seeds[k]) % 2**64) for t in some) % 2**64
+                hashes.append(max(mix(total) & 0xFFFF, 1) if some else 0)
+            expected.append(f"{s}:" + "".join(f"{h:04x}" for h in hashes))
+        assert loaded.fingerprint(text) == ";".join(expected)
 
 
 @pytest.mark.parametrize("buckets", [1, 7, 400])
@@ -313,9 +369,10 @@ ODD = st.text(alphabet=st.sampled_from(list("aAbI'stlé́ \n\t.<|>123İΣß漢
 @settings(max_examples=200, deadline=None)
 @given(ODD)
 def test_words_have_the_ids_of_the_text(text):
-    words = packing.word_ids(WORD)
-    expected = words.tokenizer.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(words.encode([text.encode()])[0], words.type).tolist() == expected
+    for table in (words.word_table(words.LowerWords, WORD), words.word_table(words.ByteWords, BYTE)):
+        assert table.by_word
+        expected = table.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(table.encode(pa.array([text]))[0], table.type).tolist() == expected
 
 
 # --- BPE
@@ -337,7 +394,15 @@ def test_bpe_is_the_library(text):
 @given(st.lists(st.binary(min_size=1, max_size=64), min_size=1, max_size=20))
 def test_side_by_side_and_single_trees_agree(words):
     found = MODEL.merge_many(words, 64)
-    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [MODEL.merge_long(w) for w in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [MODEL.merge_long(w).tolist() for w in words]
+
+
+def test_bpe_of_long_words():
+    """Words far beyond those that are merged side by side."""
+    rng = np.random.default_rng(9)
+    letters = "".join(map(chr, rng.integers(97, 123, 60_000)))
+    for word in (letters, "ab" * 20_000, "a" * 50_000, "漢字" * 5_000):
+        assert np.frombuffer(MODEL.encode([word])[0], "<u4").tolist() == LIBRARY.encode(word, add_special_tokens=False).ids
 
 
 def test_bpe_query(spark, sf_dir, texts):
