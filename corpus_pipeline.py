@@ -18,6 +18,8 @@ from fovea.llm.common import materialize, table, tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near-duplicates share 80 % or more of their five-word shingles.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Repeated runs of lines with fewer words stay: headings, greetings and list items, which clean documents share.
+RUN_WORDS = 10
 
 
 def _documents(rows: DataFrame) -> DataFrame:
@@ -38,8 +40,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that occur earlier; one of which no line is left goes."""
-    rows = line_dedup.dedup_lines(docs.select(*COLUMNS))
+    """Documents without the runs of ten words or more that occur earlier; one of which no line is left goes."""
+    rows = line_dedup.dedup_lines(docs.select(*COLUMNS), RUN_WORDS)
     return _documents(rows.where((F.col("n_deleted") == 0) | F.col("text").rlike(r"\S")))
 
 
