@@ -1,14 +1,19 @@
 """Table rows as files, so that the file readers can be checked against the tables.
 
 Every embedding becomes an 8x8 bitmap and every page an HTML file, one file per row as in an image
-collection, below `label=<class>/`. Spark's text writer does the writing, so the folder may be on
-any store and a lost task leaves no half-written file behind. It ends each file with a line feed.
+collection, below `label=<class>/`. Each file ends with a line feed. On a shared local folder tasks write the files
+themselves: Hadoop's local file system starts four `chmod` processes for each file it creates. On
+any other store Spark's text writer does it. A lost task leaves no half-written file behind either way.
 """
 
 from __future__ import annotations
 
+import os
 import struct
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,9 +70,53 @@ def staged_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _staged:
         root = shared_dir(spark, "files")
-        rows = file_rows(spark, sf_dir)
-        # a task writes its files in turn: as many tasks as it takes for FILES_PER_TASK each
-        rows = rows.repartition(-(-rows.count() // FILES_PER_TASK) or 1)
-        rows.write.partitionBy("label").option("maxRecordsPerFile", 1).text(root)
+        write_files(file_rows(spark, sf_dir), root)
         _staged[key] = root
     return _staged[key]
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """Each row of (label, value) as a file of its own, `<root>/label=<label>/*.txt`."""
+    # a task writes its files in turn: as many tasks as it takes for FILES_PER_TASK each
+    rows = rows.repartition(-(-rows.count() // FILES_PER_TASK) or 1)
+    folder = local_folder(rows.sparkSession, root)
+    if folder is None:
+        # tasks put their own files in place; names are the same in every attempt
+        writer = rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        writer.partitionBy("label").option("maxRecordsPerFile", 1).text(root)
+        return
+    os.makedirs(folder)
+    label = F.coalesce("label", F.lit("__HIVE_DEFAULT_PARTITION__")).alias("label")
+    # sorted, so that another attempt of a task gives its files the same names
+    rows = rows.select(label, F.col("value").cast("binary").alias("value")).sortWithinPartitions("label", "value")
+    rows.mapInArrow(_file_writer(folder), "files bigint").write.format("noop").mode("overwrite").save()
+
+
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """The local name of a path, or None on another store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if system.getUri().getScheme() != "file":
+        return None
+    return system.makeQualified(path).toUri().getPath()
+
+
+def _file_writer(folder: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        name, number, made = f"part-{task.partitionId():06d}", 0, set()
+        for batch in batches:
+            for label, value in zip(batch.column("label").to_pylist(), batch.column("value").to_pylist()):
+                parent = f"{folder}/label={label}"
+                if label not in made:
+                    os.makedirs(parent, exist_ok=True)
+                    made.add(label)
+                # readers skip names that begin with `_`
+                unfinished = f"{parent}/_{name}-{number}-{task.taskAttemptId()}"
+                with open(unfinished, "wb") as file:
+                    file.write((value or b"") + b"\n")
+                os.replace(unfinished, f"{parent}/{name}-{number}.txt")
+                number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64())], ["files"])
+
+    return write
