@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,29 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, size: str) -> Iterator[None]:
+    """What is computed inside sends at most so many rows and bytes to a Python worker at a time.
+
+    Texts are held in the executor and in the worker, there as Arrow and as Python strings too.
+    """
+    settings = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": size,
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 

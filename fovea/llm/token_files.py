@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fovea.llm.common import materialize, prepare, row_slices, running_offsets, whole_text
+from fovea.llm.common import arrow_batches, materialize, prepare, row_slices, running_offsets, whole_text
 from fovea.llm.words import ByteWords, word_table
 
 END_ID = 2
@@ -43,7 +43,7 @@ LONGEST = 18
 #: Ids between two checkpoints, and ids of a block.
 EVERY = 256
 BLOCK_IDS = 1 << 16
-TEXT_BYTES, SLICE_IDS = 1 << 22, 1 << 20
+TEXT_BYTES, SLICE_IDS = 1 << 23, 1 << 20
 
 
 # --- the code
@@ -260,7 +260,8 @@ def write_tokens(
     spark = docs.sparkSession
     size = _vocabulary(tokenizer, end_id)
     width = 2 if size <= 1 << 16 else 4
-    tokens = materialize(tokenize(docs, tokenizer, end_id), "tokens")
+    with arrow_batches(spark, 10_000, "8m"):  # what is encoded together
+        tokens = materialize(tokenize(docs, tokenizer, end_id), "tokens")
     counts = np.zeros(size, np.int64)
     for row in id_counts(tokens, size, width).collect():  # a row per id of the vocabulary
         counts[row["id"]] = row["n"]

@@ -3,7 +3,8 @@
 A batch of texts is cut into words and dictionary-encoded by Arrow; only its different words meet a table
 of known ones, and the ids are gathered by the words' numbers. New words are cut into parts as the
 vocabulary's own pattern does, so that a word with and without its punctuation is merged once, and the
-library's merges are run on the parts, many in one call.
+library's merges are run on the parts, many in one call. Byte-level words without white space of their
+own need no such cut: the library gets many of them as one text, whose ids tell where each begins.
 
 `LowerWords` is for vocabularies that drop white space, make letters small and mark the end of a word;
 `ByteWords` for byte-level ones, whose words keep the space before them. Both look into the tokenizer's
@@ -43,7 +44,7 @@ class Generations:
     def missing(self, keys: set) -> set:
         """Keys of neither generation; those of the old one are taken over."""
         gone = keys.difference(self.new)
-        back = gone.intersection(self.old)
+        back = self.old.keys() & gone  # goes through the few that are gone, not through a whole generation
         self.new.update(zip(back, map(self.old.__getitem__, back)))
         return gone - back
 
@@ -102,8 +103,9 @@ class WordTable:
         first = np.cumsum(sizes) - sizes
         n = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat(first[codes] - ends[:-1], n)
-        at += np.arange(len(at))
+        # places among the ids of one batch fit in 32 bits
+        at = np.repeat((first[codes] - ends[:-1]).astype(np.int32), n)
+        at += np.arange(len(at), dtype=np.int32)
         packed = flat[at].tobytes()
         offsets = pieces.offsets.to_numpy()
         edges = (ends[offsets - offsets[0]] * self.type.itemsize).tolist()
@@ -128,7 +130,7 @@ class WordTable:
         ids = list(map(self.parts.new.__getitem__, parts))
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         ends = np.cumsum(sizes)
-        stop = np.fromiter((part == "\n" for part in parts), bool, len(parts))
+        stop = np.array(parts, object) == "\n"
         packed, edges = b"".join(ids), [0, *ends[stop].tolist()]
         self.words.new.update(zip(words, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
 
@@ -200,8 +202,10 @@ class ByteWords(WordTable):
 
     def __init__(self, path: str):
         super().__init__(path)
-        from tokenizers import pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        # without the special tokens: words next to each other may spell one that no text has
+        self.plain = Tokenizer.from_str(json.dumps({**self.spec, "added_tokens": [], "post_processor": None}))
         symbols = byte_symbols()
         # parts are joined by a zero byte, which none of those that are joined holds
         self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(symbols[0])
@@ -254,13 +258,16 @@ class ByteWords(WordTable):
         get = self.parts.new.__getitem__
         self.words.new.update((word, b"".join(map(get, parts))) for word, parts in zip(odd, cut))
         for low in range(0, len(plain), CUT_AT_ONCE):
-            some = plain[low : low + CUT_AT_ONCE]
-            # a line feed before a word's space is a part of its own, here of no ids
-            parts = self.pattern(b" ".join([b"", b"\n ".join(some)]).decode() + "\n")
-            self.learn_parts(parts)
-            feed, self.parts.new["\n"] = self.parts.new["\n"], b""
-            self.join_parts(some, parts)
-            self.parts.new["\n"] = feed
+            self.learn_plain(plain[low : low + CUT_AT_ONCE])
+
+    def learn_plain(self, words: list[bytes]) -> None:
+        """Words without white space: many as one text, in which only an id that begins a word begins with a space."""
+        texts = [b" ".join([b"", *words[k : k + JOINED]]).decode() for k in range(0, len(words), JOINED)]
+        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, self.type) for x in found])
+        edges = np.append(np.nonzero(self.opens[ids])[0], len(ids)) * self.type.itemsize
+        packed, edges = ids.tobytes(), edges.tolist()
+        self.words.new.update(zip(words, [packed[a:b] for a, b in zip(edges, edges[1:])], strict=True))
 
     def learn_parts(self, parts: list[str]) -> None:
         new = self.parts.missing(set(parts))

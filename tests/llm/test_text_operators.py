@@ -375,6 +375,16 @@ def test_words_have_the_ids_of_the_text(text):
         assert np.frombuffer(table.encode(pa.array([text]))[0], table.type).tolist() == expected
 
 
+def test_plain_words_are_learned_without_their_parts():
+    """Words without white space go to the library as one text; those next to each other may spell a special token."""
+    table = words.ByteWords(BYTE)
+    text = "Un dépôt's <| endoftext |> x1,y2... don't 漢字* \0a a\0b"
+    expected = table.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(table.encode(pa.array([text]))[0], table.type).tolist() == expected
+    # only the first word, which is marked, is cut into parts
+    assert set(table.parts.new) == {"Un"}
+
+
 # --- BPE
 
 MODEL = bpe.bpe(BYTE)
