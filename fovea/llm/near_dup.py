@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fovea.llm.common import materialize, prepare, whole_text
+from fovea.llm.common import arrow_batches, materialize, prepare, whole_text
 
 WORDS, PERCENT = 3, 85
 MISSED = 1e-7
@@ -40,6 +40,8 @@ MOST_COORDINATES = 144
 #: Sizes of shingle sets are told apart in steps of this factor where prefixes are joined.
 SIZE_STEP = 1.05
 BLOCK = 4096
+#: Rows and bytes that go to a Python worker at a time: pairs come with both their texts.
+BATCH_ROWS, BATCH_BYTES = 1024, "8m"
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -272,7 +274,15 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; links have 100 * both >= percent * either."""
+    """(doc_id, n_shingles, component_id, kept) of every row; links have 100 * both >= percent * either.
+
+    All that needs Python is computed here, into staged tables: the result is joins of these.
+    """
+    with arrow_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        return _near_duplicates(docs, words, percent)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     signed = materialize(signatures(docs, words, percent), "signatures")
     usable = signed.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = materialize(usable.groupBy("class").agg(F.min("doc_id").alias("first")), "classes")

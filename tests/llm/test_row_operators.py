@@ -196,6 +196,29 @@ def test_components_of_long_chains_and_stars(spark):
     assert {r["node"]: r["root"] for r in found} == expected
 
 
+def test_near_duplicates_bound_what_goes_to_python(spark, monkeypatch):
+    """Workers get few rows at a time; the session's own setting is back afterwards."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    write = near_dup.materialize
+
+    def noting(df, purpose):
+        seen.append((purpose, int(spark.conf.get(name))))
+        return write(df, purpose)
+
+    spark.conf.set(name, "10000")
+    monkeypatch.setattr(near_dup, "materialize", noting)
+    try:
+        docs = spark.createDataFrame([(i, "a b c d e f g") for i in range(4)], "doc_id long, text string")
+        kept = near_dup.near_duplicates(docs).where("kept").collect()
+        assert spark.conf.get(name) == "10000"
+    finally:
+        spark.conf.set(name, before)
+    assert [r["doc_id"] for r in kept] == [0]
+    assert {"signatures", "links", "sets"} <= {purpose for purpose, _ in seen}
+    assert all(rows <= near_dup.BATCH_ROWS for _, rows in seen)
+
+
 def test_near_duplicates_of_odd_documents(odd_documents, no_documents):
     rows = near_dup.near_duplicates(odd_documents).collect()
     assert len(rows) == 15
