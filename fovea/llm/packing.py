@@ -24,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fovea.llm.common import materialize, prepare, row_slices, running_offsets, whole_text
+from fovea.llm.common import arrow_batches, materialize, prepare, row_slices, running_offsets, whole_text
 from fovea.llm.words import LowerWords, word_table
 
 WINDOW = 4096
 END_ID = 2
 #: Bytes of text that are cut into words at a time, and ids that are cut into pieces.
 TEXT_BYTES = 1 << 22
+#: Rows and bytes that a task sends to its Python worker at a time while it tokenizes.
+BATCH_ROWS, BATCH_BYTES = 10_000, "4m"
 SLICE_IDS = 1 << 20
 
 
@@ -113,7 +115,8 @@ def pack(
     within the sequence. The broadcast offsets are one row for each task that tokenized.
     """
     width = 2 if _vocabulary(tokenizer) <= 1 << 16 else 4
-    staged = materialize(tokenize(docs, tokenizer, end_id), "tokens")
+    with arrow_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        staged = materialize(tokenize(docs, tokenizer, end_id), "tokens")
     totals = staged.groupBy("task").agg(F.sum("n").alias("total"))
     offsets = running_offsets(totals, "task", "total")
     placed = staged.join(F.broadcast(offsets), "task").select(

@@ -4,7 +4,8 @@ A batch of texts is cut into words and dictionary-encoded by Arrow; only its dif
 of known ones, and the ids are gathered by the words' numbers. New words are cut into parts as the
 vocabulary's own pattern does, so that a word with and without its punctuation is merged once, and the
 library's merges are run on the parts, many in one call. Byte-level words without white space of their
-own need no such cut: the library gets many of them as one text, whose ids tell where each begins.
+own need no such cut: the library gets many of them as one text, whose ids tell where each begins, and
+those of letters alone not even the library's pattern.
 
 `LowerWords` is for vocabularies that drop white space, make letters small and mark the end of a word;
 `ByteWords` for byte-level ones, whose words keep the space before them. Both look into the tokenizer's
@@ -16,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ import regex
 from fovea.llm.bpe import WORDS, byte_symbols
 
 #: Words and parts that a generation of a worker's tables holds.
-CACHED_WORDS, CACHED_PARTS = 500_000, 350_000
+CACHED_WORDS, CACHED_PARTS = 300_000, 150_000
 #: Parts that are encoded in one text, and words that are cut at a time.
 JOINED, CUT_AT_ONCE = 500, 20_000
 
@@ -59,9 +61,11 @@ class WordTable:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer = None
+        # the same model in memory, without special tokens: words next to each other may spell one that no text has
+        self.bare = Tokenizer(self.library.model)
         self.spec = json.loads(self.library.to_str())
+        for long in ("vocab", "merges"):
+            self.spec["model"].pop(long, None)
         self.vocabulary = self.library.get_vocab()
         self.size = max(self.vocabulary.values()) + 1
         self.type = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
@@ -192,20 +196,26 @@ class ByteWords(WordTable):
     """Byte-level vocabularies. A text is cut before spaces and line feeds, where the library would part it
     too, unless white space stands on both their sides: only a space joins what follows it. Texts with three
     white-space characters in a row or two at the end, or with such beyond ASCII, are cut by the pattern.
-    Words that begin their text, and those that begin with a line feed, are told apart by marks.
+    Full stops and commas between an ASCII letter or digit and white space are a part of their own, and a word here.
+    Words without a space before them, and those that begin with a line feed, are told apart by marks.
     """
 
     FIRST, FEED = b"\xff", b"\xfe"
+    STOP = rb"([0-9A-Za-z])([.,])([ \n])"
     AWKWARD = (
         r"[\t-\r ][\t-\r ](?:[\t-\r ]|$)|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
     )
+    #: Bytes of ASCII, Latin-1 and Latin Extended-A letters, and of Cyrillic ones up to U+047F.
+    LETTERS = np.zeros(256, bool)
+    LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, 0xC4, 0xC5, 0xD0, 0xD1, *range(0x80, 0xC0)]] = True
 
     def __init__(self, path: str):
         super().__init__(path)
         from tokenizers import Tokenizer, pre_tokenizers
 
-        # without the special tokens: words next to each other may spell one that no text has
-        self.plain = Tokenizer.from_str(json.dumps({**self.spec, "added_tokens": [], "post_processor": None}))
+        self.plain = Tokenizer(self.library.model)
+        if self.library.pre_tokenizer is not None:
+            self.plain.pre_tokenizer = self.library.pre_tokenizer
         symbols = byte_symbols()
         # parts are joined by a zero byte, which none of those that are joined holds
         self.bare.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(symbols[0])
@@ -223,8 +233,10 @@ class ByteWords(WordTable):
 
     def signs(self, parts: list[str]) -> str:
         """Parts as the vocabulary's printable signs of their bytes, joined."""
-        raw = np.frombuffer("\0".join(parts).encode(), np.uint8)
-        return self.symbols[raw].tobytes().decode("utf-16-le")
+        return self.signs_of("\0".join(parts).encode())
+
+    def signs_of(self, raw: bytes) -> str:
+        return self.symbols[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le")
 
     def aside(self, texts: pa.Array) -> np.ndarray:
         if not self.by_word:
@@ -242,28 +254,51 @@ class ByteWords(WordTable):
         return b"".join(map(self.parts.new.__getitem__, parts))
 
     def cut(self, texts: pa.Array) -> pa.ListArray:
-        marked = pc.binary_join_element_wise(self.FIRST, texts.cast(pa.binary()), b"")
+        marked = pc.replace_substring_regex(
+            texts.cast(pa.binary()), pattern=self.STOP, replacement=rb"\1 " + self.FIRST + rb"\2\3"
+        )
+        marked = pc.binary_join_element_wise(self.FIRST, marked, b"")
         marked = pc.replace_substring(marked, pattern=b"\n", replacement=b" " + self.FEED)
         return pc.split_pattern(marked, pattern=b" ")
 
+    def of_letters(self, words: list[bytes]) -> np.ndarray:
+        """Words that are letters alone, of the kinds above; no word has a space."""
+        raw = np.frombuffer(b" ".join([*words, b""]), np.uint8)
+        other = ~self.LETTERS[raw]
+        # the signs of multiplication and division lie among the letters
+        other[:-1] |= (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        # the space that ends a word is no letter
+        return (np.add.reduceat(other, np.cumsum(sizes) - sizes, dtype=np.int64) == 1) & (sizes > 1)
+
     def learn(self, words: list[bytes]) -> None:
         space = re.compile(rb"[\t-\r\xfe\xff]").search
         lead = {self.FIRST: b"", self.FEED: b"\n"}
-        is_odd = [not word or space(word) is not None for word in words]
-        odd = [word for word, out in zip(words, is_odd) if out]
-        plain = [word for word, out in zip(words, is_odd) if not out]
+        one = self.of_letters(words)
+        letters, rest = list(compress(words, one.tolist())), list(compress(words, (~one).tolist()))
+        is_odd = [not word or space(word) is not None for word in rest]
+        odd = [word for word, out in zip(rest, is_odd) if out]
+        plain = [word for word, out in zip(rest, is_odd) if not out]
         texts = [lead[w[:1]] + w[1:] if w[:1] in lead else b" " + w for w in odd]
         cut = [self.pattern(text.replace(self.FEED, b"\n").decode()) for text in texts]
         self.learn_parts([part for parts in cut for part in parts])
         get = self.parts.new.__getitem__
         self.words.new.update((word, b"".join(map(get, parts))) for word, parts in zip(odd, cut))
-        for low in range(0, len(plain), CUT_AT_ONCE):
-            self.learn_plain(plain[low : low + CUT_AT_ONCE])
-
-    def learn_plain(self, words: list[bytes]) -> None:
-        """Words without white space: many as one text, in which only an id that begins a word begins with a space."""
-        texts = [b" ".join([b"", *words[k : k + JOINED]]).decode() for k in range(0, len(words), JOINED)]
-        found = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        for some, one in ((letters, True), (plain, False)):
+            for low in range(0, len(some), CUT_AT_ONCE):
+                self.learn_plain(some[low : low + CUT_AT_ONCE], one)
+
+    def learn_plain(self, words: list[bytes], one: bool) -> None:
+        """Words without white space: many as one text, in which only an id that begins a word begins with a space.
+
+        Words of which each is `one` part are given as signs, like parts.
+        """
+        some = [words[k : k + JOINED] for k in range(0, len(words), JOINED)]
+        if one:
+            texts = [self.signs_of(b" " + b"\0 ".join(x)) for x in some]
+        else:
+            texts = [b" ".join([b"", *x]).decode() for x in some]
+        found = (self.bare if one else self.plain).encode_batch_fast(texts, add_special_tokens=False)
         ids = np.concatenate([np.array(x.ids, self.type) for x in found])
         edges = np.append(np.nonzero(self.opens[ids])[0], len(ids)) * self.type.itemsize
         packed, edges = ids.tobytes(), edges.tolist()

@@ -385,6 +385,48 @@ def test_plain_words_are_learned_without_their_parts():
     assert set(table.parts.new) == {"Un"}
 
 
+def test_letters_and_stops_are_learned_apart_from_each_other():
+    """A word before a full stop or a comma is the word without it; letters alone do not meet the pattern."""
+    table = words.ByteWords(BYTE)
+    met = []
+    encode = table.plain.encode_batch_fast
+
+    class Plain:
+        def encode_batch_fast(self, texts, **options):
+            met.extend(texts)
+            return encode(texts, **options)
+
+    table.plain = Plain()
+    text = "A word, a word. word\nA word.\nЖёлтый dépôt, dépôt. a×b a÷b ×. 3.14, 'll, it's. ... .,. word.,  word. \n, end."
+    expected = table.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(table.encode(pa.array([text]))[0], table.type).tolist() == expected
+    assert b"word" in table.words.new and not {b"word.", b"word,"} & set(table.words.new)
+    met = {word for x in met for word in x.split()}
+    assert {"a×b", "a÷b"} <= met and not {"word", "Жёлтый", "end"} & met
+
+
+def test_packing_sends_texts_in_small_batches(spark, documents, monkeypatch):
+    """While texts are tokenized, executor and worker hold a few MB of them, whatever the session's own setting."""
+    size, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    stage = packing.materialize
+
+    def materialize(df, purpose):
+        seen.append(spark.conf.get(size))
+        return stage(df, purpose)
+
+    before = spark.conf.get(size)
+    monkeypatch.setattr(packing, "materialize", materialize)
+    assert packing.pack(documents, WORD).count() > 0
+    assert seen == ["4m"] and spark.conf.get(size) == before
+
+
+def test_tokenizers_of_a_worker_share_their_model():
+    """A worker holds one model a vocabulary, and only the settings of its description."""
+    for table in (words.LowerWords(WORD), words.ByteWords(BYTE)):
+        assert not {"vocab", "merges"} & set(table.spec["model"])
+        assert table.bare.get_added_tokens_decoder() == {}
+
+
 # --- BPE
 
 MODEL = bpe.bpe(BYTE)
