@@ -260,19 +260,19 @@ def write_tokens(
     spark = docs.sparkSession
     size = _vocabulary(tokenizer, end_id)
     width = 2 if size <= 1 << 16 else 4
-    with arrow_batches(spark, 10_000, "8m"):  # what is encoded together
+    with arrow_batches(spark, 10_000, "8m"):  # what is encoded, counted or written together
         tokens = materialize(tokenize(docs, tokenizer, end_id), "tokens")
-    counts = np.zeros(size, np.int64)
-    for row in id_counts(tokens, size, width).collect():  # a row per id of the vocabulary
-        counts[row["id"]] = row["n"]
-    lengths = code_lengths(counts, longest)
-    used = [(i, n) for i, n in enumerate(lengths.tolist()) if n]
-    spark.createDataFrame(used, "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
-    # rows of one id are told apart by where the staged table has them
-    order = [F.asc_nulls_first("doc_id"), F.asc("_row")]
-    rows = tokens.withColumn("_row", F.monotonically_increasing_id())
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    to_blocks(rows, lengths, width, block_ids).write.parquet(f"{path}/blocks")
+        counts = np.zeros(size, np.int64)
+        for row in id_counts(tokens, size, width).collect():  # a row per id of the vocabulary
+            counts[row["id"]] = row["n"]
+        lengths = code_lengths(counts, longest)
+        used = [(i, n) for i, n in enumerate(lengths.tolist()) if n]
+        spark.createDataFrame(used, "id bigint, length int").coalesce(1).write.parquet(f"{path}/code")
+        # rows of one id are told apart by where the staged table has them
+        order = [F.asc_nulls_first("doc_id"), F.asc("_row")]
+        rows = tokens.withColumn("_row", F.monotonically_increasing_id())
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        to_blocks(rows, lengths, width, block_ids).write.parquet(f"{path}/blocks")
     blocks = spark.read.schema(BLOCK).parquet(f"{path}/blocks")
     totals = blocks.groupBy("shard").agg(F.sum("n").alias("total"))
     running_offsets(totals, "shard", "total").select("shard", F.col("offset").alias("first")).coalesce(
